@@ -24,8 +24,12 @@ def with_zone_name(
 
 
 def revenue_by_zone_named(revenue: DataFrame, zones: DataFrame) -> DataFrame:
-    """Revenue rows of known zones, with the lookup's columns in place of the ids."""
-    return revenue.join(zones, revenue["zone"] == zones["LocationID"]).drop("LocationID", "zone")
+    """Revenue rows of known zones, with the lookup's columns in place of the ids.
+
+    Dropped by reference: by name, case-blind matching would drop the lookup's ``Zone`` as well.
+    """
+    named = revenue.join(zones, revenue["zone"] == zones["LocationID"])
+    return named.drop(revenue["zone"], zones["LocationID"])
 
 
 def trips_per_zone(trips: DataFrame, zones: DataFrame) -> DataFrame:

@@ -236,7 +236,8 @@ def trade(spark: SparkSession, sf_dir: str, *columns: str, flow: str | None = No
     return rows.filter(wanted).select(*[known[name].alias(name) for name in chosen])
 
 
-def _ride_message(clean: bool) -> tuple[dict[str, Column], dict[str, Column]]:
+def ride_columns(clean: bool = True) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Key and value fields of an event's ride message; unless clean, some lack their amount."""
     vendor = F.col("user_id").cast("int")
     amount = F.col("value")
     value = {
@@ -254,7 +255,7 @@ def ride_messages(rows: DataFrame, clean: bool = True) -> DataFrame:
 
     Unless ``clean``, every hundredth value is not JSON and the one after it lacks its amount.
     """
-    key, value = _ride_message(clean)
+    key, value = ride_columns(clean)
     messages = encode(
         rows,
         key,

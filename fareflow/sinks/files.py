@@ -13,10 +13,16 @@ def write_parquet(
     mode: str = "errorifexists",
     files: int | None = None,
     compression: str | None = None,
+    prefix: str | None = None,
 ) -> None:
-    """Parquet files; by default an existing target is an error. ``files`` sets their number."""
+    """Parquet files; by default an existing target is an error.
+
+    ``files`` sets their number, ``prefix`` what their names start with.
+    """
     rows = df.repartition(files) if files else df
     writer = rows.write.mode(mode)
+    if prefix:
+        writer = writer.option("mapreduce.output.basename", prefix)
     if compression:
         writer = writer.option("compression", compression)
     writer.parquet(path)

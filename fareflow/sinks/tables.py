@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.functions.moments import days_between, month_date
+from fareflow.session import setting
 from fareflow.sinks.files import spread_for
 
 
@@ -70,12 +71,9 @@ def load_dates(df: DataFrame, name: str, layout: DateLayout) -> DataFrame:
     """
     spark = df.sparkSession
     dated = df.withColumn(layout.column, layout.of(layout.ts)).select(*spark.table(name).columns)
-    (
-        spread_for(dated, [layout.column])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(name)
-    )
+    # A table insert takes the overwrite mode from the session, not from a writer option.
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        spread_for(dated, [layout.column]).write.insertInto(name, overwrite=True)
     return spark.table(name)
 
 

@@ -60,16 +60,18 @@ def read_conformed(
 
 def read_dataset(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
     """One dataset out of a folder that holds several, told apart by file name."""
-    return (
-        spark.read.option("pathGlobFilter", f"{dataset}_tripdata*.parquet")
-        .option("recursiveFileLookup", True)
-        .parquet(folder)
-    )
+    return spark.read.option("pathGlobFilter", f"{dataset}_tripdata*.parquet").parquet(folder)
 
 
-def external_table(spark: SparkSession, name: str, paths: Iterable[str]) -> DataFrame:
-    """A named view over one or more path prefixes; the files stay where they are."""
-    rows = read_parquet(spark, list(paths))
+def external_table(
+    spark: SparkSession, name: str, paths: Iterable[str], root: str | None = None
+) -> DataFrame:
+    """A named view over one or more path prefixes; the files stay where they are.
+
+    Where the prefixes are partition folders (``key=value``), ``root`` is the table they belong to.
+    """
+    reader = spark.read.option("basePath", root) if root else spark.read
+    rows = reader.parquet(*paths)
     rows.createOrReplaceTempView(name)
     return spark.table(name)
 

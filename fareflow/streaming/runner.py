@@ -6,23 +6,13 @@ are not handled again, and a batch cut short is written anew in place of its fir
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-
-_PARTITIONS = "spark.sql.shuffle.partitions"
+from pyspark.sql import DataFrame
 
+from fareflow.session import setting
 
-@contextmanager
-def _shuffle_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
-    before = spark.conf.get(_PARTITIONS)
-    if n:
-        spark.conf.set(_PARTITIONS, n)
-    try:
-        yield
-    finally:
-        spark.conf.set(_PARTITIONS, before)
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def append_to_files(
@@ -63,7 +53,8 @@ def write_changes(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    with _shuffle_partitions(stream.sparkSession, state_partitions):
+    spark = stream.sparkSession
+    with setting(spark, _PARTITIONS, state_partitions or spark.conf.get(_PARTITIONS)):
         query = (
             stream.writeStream.outputMode("update")
             .option("checkpointLocation", checkpoint)
