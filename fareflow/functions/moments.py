@@ -65,14 +65,21 @@ def seconds_of_day_udf(start: Column | str, end: Column | str) -> Column:
     return F.pandas_udf(seconds, T.IntegerType())(start, end)
 
 
-def in_year(ts: Column | str, year: int) -> Column:
-    """Time within a year, as a range so that it reaches the file scan (``year(ts) = n`` does not)."""
+def in_years(ts: Column | str, first: int, last: int) -> Column:
+    """Time from one year to another, both included.
+
+    A range reaches the file scan, which ``year(ts) = n`` does not.
+    """
     ts = _col(ts)
-    return (ts >= F.lit(f"{year:04d}-01-01").cast("timestamp_ntz")) & (
-        ts < F.lit(f"{year + 1:04d}-01-01").cast("timestamp_ntz")
+    return (ts >= F.lit(f"{first:04d}-01-01").cast("timestamp_ntz")) & (
+        ts < F.lit(f"{last + 1:04d}-01-01").cast("timestamp_ntz")
     )
 
 
+def in_year(ts: Column | str, year: int) -> Column:
+    return in_years(ts, year, year)
+
+
 def on_day(ts: Column | str, day: str) -> Column:
     return F.to_date(_col(ts)) == F.lit(day).cast("date")
 

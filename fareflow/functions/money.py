@@ -17,8 +17,8 @@ HUNDREDTHS = 100
 def hundredths(amount: Column | str) -> Column:
     """The amount in whole hundredths; NaN counts as missing."""
     amount = F.col(amount) if isinstance(amount, str) else amount
-    scaled = F.rint(amount.cast("double") * F.lit(float(HUNDREDTHS)))
-    return F.when(~F.isnan(scaled), scaled.cast("bigint"))
+    known = F.nanvl(amount.cast("double"), F.lit(None).cast("double"))
+    return F.rint(known * F.lit(float(HUNDREDTHS))).cast("bigint")
 
 
 def from_hundredths(total: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.functions.moments import month_date
+from fareflow.functions.moments import in_years, month_date
 
 
 def row_count(df: DataFrame, name: str = "trips") -> DataFrame:
@@ -56,11 +56,7 @@ def service_share(trips: DataFrame, years: Sequence[int], ts: str = "pickup_date
 
     The window runs over the counts: one row per service in each year.
     """
-    first, last = min(years), max(years)
-    bounded = trips.filter(
-        (F.col(ts) >= F.lit(f"{first}-01-01").cast("timestamp_ntz"))
-        & (F.col(ts) < F.lit(f"{last + 1}-01-01").cast("timestamp_ntz"))
-    )
+    bounded = trips.filter(in_years(ts, min(years), max(years)))
     counts = count_by(bounded, F.year(ts).alias("year"), "service_type").filter(
         F.col("year").isin(list(years))
     )

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareflow.functions.moments import in_years
 from fareflow.schemas import RIDE_KEY
 from fareflow.streaming.messages import encode
 
@@ -85,10 +86,11 @@ def _rides(
         rows = rows.filter(only)
     if "orders" in needed:
         orders = table(spark, sf_dir, "orders")
-        rows = rows.join(orders, rows["l_orderkey"] == orders["o_orderkey"])
-    if "customer" in needed:
-        customer = table(spark, sf_dir, "customer")
-        rows = rows.join(customer, F.col("o_custkey") == customer["c_custkey"])
+        if "customer" in needed:
+            # Orders, not the several times larger lines, are shuffled by customer.
+            customer = table(spark, sf_dir, "customer")
+            orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if "supplier" in needed:
         supplier = table(spark, sf_dir, "supplier")
         rows = rows.join(supplier, F.col("l_suppkey") == supplier["s_suppkey"])
@@ -176,11 +178,18 @@ def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TRADE_PART = {"section_cd": "p_brand", "section_ds": "p_type"}
 
 
-def trade(spark: SparkSession, sf_dir: str, *columns: str, flow: str | None = None) -> DataFrame:
+def trade(
+    spark: SparkSession,
+    sf_dir: str,
+    *columns: str,
+    flow: str | None = None,
+    years: tuple[int, int] | None = None,
+) -> DataFrame:
     """Trade rows of both flows in one pass over the order lines, or of one ``flow``.
 
     A line whose supplier alone is at home is an export, one whose customer alone is at home an
-    import. Both parties bring their nation and region along, so lines are joined to each once.
+    import. ``years`` (first, last) reads only their orders. Orders are joined to customers before
+    lines are; for exports the home suppliers come first and leave a fifth of the lines.
     """
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     places = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
@@ -198,12 +207,16 @@ def trade(spark: SparkSession, sf_dir: str, *columns: str, flow: str | None = No
     customer = party(table(spark, sf_dir, "customer"), "c")
     supplier = party(table(spark, sf_dir, "supplier"), "s")
     orders = table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem")
-    rows = (
-        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .join(customer, F.col("o_custkey") == customer["c_custkey"])
-        .join(supplier, F.col("l_suppkey") == supplier["s_suppkey"])
-    )
+    if years:
+        orders = orders.filter(in_years("o_orderdate", *years))
+    orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+    joins = [
+        (orders, F.col("l_orderkey") == F.col("o_orderkey")),
+        (supplier, F.col("l_suppkey") == F.col("s_suppkey")),
+    ]
+    rows = table(spark, sf_dir, "lineitem")
+    for other, match in reversed(joins) if flow == "exports" else joins:
+        rows = rows.join(other, match)
     if not columns or set(columns) & set(_TRADE_PART):
         part = table(spark, sf_dir, "part")
         rows = rows.join(part, F.col("l_partkey") == part["p_partkey"])

@@ -139,7 +139,7 @@ def src_name_pattern(spark, sf_dir):
 )
 def trade_json_flatten(spark, sf_dir):
     names = [f"f{position:02d}" for position in range(len(TRADE_PAYLOAD))]
-    rows = B.trade(spark, sf_dir, *TRADE_PAYLOAD, flow=T.EXPORTS).filter("year = 1997")
+    rows = B.trade(spark, sf_dir, *TRADE_PAYLOAD, flow=T.EXPORTS, years=(1997, 1997))
     record = F.struct(*[F.col(c).cast("string").alias(n) for c, n in zip(TRADE_PAYLOAD, names)])
     folder = new_folder(spark, "trade-json")
     documents = rows.select(

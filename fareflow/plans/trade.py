@@ -51,13 +51,15 @@ def _change_sql(*place: str) -> str:
 @query(_change_sql("origin_state", "origin_city"))
 def export_change_by_city(spark, sf_dir):
     place = ("origin_state", "origin_city")
-    return T.biggest_changes(B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS), place, 2000)
+    rows = B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS, years=(1999, 2000))
+    return T.biggest_changes(rows, place, 2000)
 
 
 @query(_change_sql("origin_state"))
 def export_change_by_state(spark, sf_dir):
     place = ("origin_state",)
-    return T.biggest_changes(B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS), place, 2000)
+    rows = B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS, years=(1999, 2000))
+    return T.biggest_changes(rows, place, 2000)
 
 
 @query(
@@ -95,7 +97,7 @@ def trade_balance(spark, sf_dir):
          FROM yearly GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 5"""
 )
 def partner_forecast(spark, sf_dir):
-    rows = B.trade(spark, sf_dir, "year", "destination_country", "fob")
+    rows = B.trade(spark, sf_dir, "year", "destination_country", "fob", years=(1995, 2000))
     return T.partner_forecast(rows, 1995, 2000)
 
 
