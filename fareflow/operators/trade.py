@@ -37,23 +37,24 @@ def biggest_changes(
     """The places whose value rose most and fell most against the calendar year before.
 
     A year without trade counts as 0. Only the two years are read, so a table partitioned by
-    date is pruned to them; a place with no trade in either has no change to report. Both lists
-    come from one grouping, whose shuffle Spark reuses.
+    date is pruned to them; a place with no trade in either has no change to report. Each task
+    passes on its first ``n`` places of either direction, so the ranking never gathers them all.
     """
     def value_of(y: int) -> Column:
         return F.sum(F.when(F.col("year") == y, F.col("fob")).otherwise(F.lit(0)))
 
+    change = F.col("change_fob")
     per_place = (
         exports.filter(F.col("year").isin(year - 1, year))
         .groupBy(*place)
         .agg(value_of(year - 1).alias("previous_fob"), value_of(year).alias("current_fob"))
         .withColumn("change_fob", F.col("current_fob") - F.col("previous_fob"))
+        .filter(change != 0)
+        .withColumn("direction", F.when(change > 0, F.lit("increase")).otherwise(F.lit("decrease")))
     )
-    change = F.col("change_fob")
-    rises = per_place.filter(change > 0).orderBy(change.desc(), *place).limit(n)
-    falls = per_place.filter(change < 0).orderBy(change.asc(), *place).limit(n)
-    return rises.withColumn("direction", F.lit("increase")).unionByName(
-        falls.withColumn("direction", F.lit("decrease"))
+    order = Window.partitionBy("direction").orderBy(F.desc(F.abs(change)), *place)
+    return per_place.withColumn("position", F.row_number().over(order)).filter(
+        F.col("position") <= n
     )
 
 
@@ -69,14 +70,14 @@ def trade_balance(trade: DataFrame) -> DataFrame:
     def value_of(flow: str) -> Column:
         return F.sum(F.when(F.col("flow") == flow, F.col("fob")).otherwise(F.lit(0))).alias(flow)
 
-    per_year = trade.groupBy(F.col("year").cast("string").alias("period")).agg(
-        value_of(EXPORTS), value_of(IMPORTS)
-    )
-    total = per_year.agg(F.sum(EXPORTS).alias(EXPORTS), F.sum(IMPORTS).alias(IMPORTS)).select(
-        F.lit("all").alias("period"), EXPORTS, IMPORTS
-    )
-    return per_year.unionByName(total).withColumn(
-        "balance", F.col(EXPORTS) - F.col(IMPORTS)
+    per_year = trade.groupBy("year").agg(value_of(EXPORTS), value_of(IMPORTS))
+    # Every year's line counts for its own period and for the total: one pass over the trade rows.
+    periods = F.explode(F.array(F.col("year").cast("string"), F.lit("all")))
+    return (
+        per_year.select(periods.alias("period"), EXPORTS, IMPORTS)
+        .groupBy("period")
+        .agg(F.sum(EXPORTS).alias(EXPORTS), F.sum(IMPORTS).alias(IMPORTS))
+        .withColumn("balance", F.col(EXPORTS) - F.col(IMPORTS))
     )
 
 

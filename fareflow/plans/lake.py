@@ -224,28 +224,28 @@ def table_append_idempotent(spark, sf_dir):
     )
 
 
-_PLAIN = (
+VENDOR_COLUMNS = (
     "VendorID", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
     "PULocationID", "DOLocationID", "fare_amount", "tip_amount", "total_amount",
 )
-_PLAIN_SQL = S.with_(S.TRIPS) + f"SELECT {', '.join(_PLAIN)} FROM trips"
+_PLAIN_SQL = S.with_(S.TRIPS) + f"SELECT {', '.join(VENDOR_COLUMNS)} FROM trips"
 
 
 @query(_PLAIN_SQL)
 def ctas_plain(spark, sf_dir):
-    rows = B.trips(spark, sf_dir, *_PLAIN)
+    rows = B.trips(spark, sf_dir, *VENDOR_COLUMNS)
     return tables.replace_table(rows, new_table("plain"), new_folder(spark, "plain"))
 
 
-def vendor_layouts(spark, rows):
+def vendor_layouts(spark, rows, **options):
     """The same rows as a plain table, one partitioned by month, and one also ordered by vendor."""
-    plain = tables.replace_table(rows, new_table("plain"), new_folder(spark, "plain"))
-    partitioned = tables.create_by_date(
-        plain, new_table("dated"), PICKUP_MONTH, path=new_folder(spark, "dated")
-    )
-    clustered = tables.create_by_date(
-        plain, new_table("clustered"), PICKUP_MONTH, ["VendorID"], new_folder(spark, "clustered")
-    )
+    plain = tables.replace_table(rows, new_table("plain"), new_folder(spark, "plain"), **options)
+
+    def by_month(label, cluster_by=()):
+        name, path = new_table(label), new_folder(spark, label)
+        return tables.create_by_date(plain, name, PICKUP_MONTH, cluster_by, path, **options)
+
+    partitioned, clustered = by_month("dated"), by_month("clustered", ["VendorID"])
     return {"plain": plain, "partitioned": partitioned, "clustered": clustered}
 
 
@@ -262,7 +262,7 @@ def select_days(layout, table, first, last):
          WHERE CAST(pickup_datetime AS DATE) BETWEEN DATE '1997-06-01' AND DATE '1997-06-30'"""
 )
 def ctas_partitioned(spark, sf_dir):
-    rows = B.trips(spark, sf_dir, *_PLAIN)
+    rows = B.trips(spark, sf_dir, *VENDOR_COLUMNS)
     table = tables.create_by_date(
         rows, new_table("dated"), PICKUP_MONTH, path=new_folder(spark, "dated")
     )
@@ -278,7 +278,7 @@ def ctas_partitioned(spark, sf_dir):
          SELECT layout, trips FROM answer, (VALUES ('plain'), ('partitioned'), ('clustered')) l(layout)"""
 )
 def count_vendor_in_range(spark, sf_dir):
-    layouts = vendor_layouts(spark, B.trips(spark, sf_dir, *_PLAIN))
+    layouts = vendor_layouts(spark, B.trips(spark, sf_dir, *VENDOR_COLUMNS))
     counts = [
         reports.row_count(
             select_days(layout, table, "1997-06-01", "1998-12-31").filter("VendorID = 1")

@@ -41,10 +41,12 @@ def _change_sql(*place: str) -> str:
         f"""last_year AS (SELECT {names}, previous_fob, current_fob, current_fob - previous_fob AS change_fob
             FROM changes WHERE year = 2000)""",
     ) + f"""
-        SELECT *, 'increase' AS direction FROM
+        SELECT *, 'increase' AS direction,
+               CAST(row_number() OVER (ORDER BY change_fob DESC, {names}) AS INTEGER) AS position FROM
             (SELECT * FROM last_year WHERE change_fob > 0 ORDER BY change_fob DESC, {names} LIMIT 5) u
         UNION ALL
-        SELECT *, 'decrease' AS direction FROM
+        SELECT *, 'decrease' AS direction,
+               CAST(row_number() OVER (ORDER BY change_fob, {names}) AS INTEGER) AS position FROM
             (SELECT * FROM last_year WHERE change_fob < 0 ORDER BY change_fob, {names} LIMIT 5) d"""
 
 

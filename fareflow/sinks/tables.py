@@ -38,9 +38,9 @@ def _writer(df: DataFrame, path: str | None, mode: str):
     return writer.option("path", path) if path else writer
 
 
-def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def replace_table(df: DataFrame, name: str, path: str | None = None, **options) -> DataFrame:
     """Creates or replaces a table with these rows; ``path`` keeps its files outside the warehouse."""
-    _writer(df, path, "overwrite").saveAsTable(name)
+    _writer(df, path, "overwrite").options(**options).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -56,11 +56,17 @@ def create_by_date(
     layout: DateLayout,
     cluster_by: Sequence[str] = (),
     path: str | None = None,
+    **options,
 ) -> DataFrame:
-    """Creates or replaces a table partitioned by date, its rows ordered by ``cluster_by``."""
+    """Creates or replaces a table partitioned by date, its rows ordered by ``cluster_by``.
+
+    A filter on the leading ``cluster_by`` column skips the row groups and pages whose range it
+    misses. ``options`` go to the Parquet writer.
+    """
     dated = df.withColumn(layout.column, layout.of(layout.ts))
     spread = spread_for(dated, [layout.column], cluster_by)
-    _writer(spread, path, "overwrite").partitionBy(layout.column).saveAsTable(name)
+    writer = _writer(spread, path, "overwrite").options(**options)
+    writer.partitionBy(layout.column).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
