@@ -273,7 +273,7 @@ def ride_messages(rows: DataFrame, clean: bool = True) -> DataFrame:
         rows,
         key,
         value,
-        F.lit("datatalkclub.yellow_taxi_ride.json").alias("topic"),
+        F.lit("yellow_taxi_rides").alias("topic"),
         (F.col("event_id") % 4).cast("int").alias("partition"),
         F.expr("event_id div 4").alias("offset"),
     )

@@ -27,7 +27,8 @@ RECORDED = fields("""
 
 
 def _events(spark, sf_dir):
-    return read_file_stream(spark, sf_dir, B.EVENTS, pattern="events.parquet")
+    # A glob, so that the table may be one file or a folder of files.
+    return read_file_stream(spark, f"{sf_dir}/events.parquet*", B.EVENTS)
 
 
 def _run(spark, stream, label, partition_by=()):
@@ -56,7 +57,7 @@ def stream_decode_json(spark, sf_dir):
 
 @query(
     S.with_(S.RIDES)
-    + f"""SELECT 'datatalkclub.yellow_taxi_ride.json' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition",
+    + f"""SELECT 'yellow_taxi_rides' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition",
                  event_id // 4 AS "offset", {_KEY} AS key, vendorId, total_amount FROM rides"""
 )
 def stream_envelope(spark, sf_dir):
@@ -84,8 +85,8 @@ def stream_rejects(spark, sf_dir):
 @query(
     S.with_(S.RIDES)
     + f"""SELECT CASE WHEN NOT ok THEN 'rejects'
-                      WHEN total_amount >= 40.0 THEN 'datatalks.yellow_taxi_rides.high_amount'
-                      ELSE 'datatalks.yellow_taxi_rides.low_amount' END AS topic,
+                      WHEN total_amount >= 40.0 THEN 'yellow_taxi_rides.high_amount'
+                      ELSE 'yellow_taxi_rides.low_amount' END AS topic,
                  {_KEY} AS key, count(*) AS rides,
                  CAST(sum(CASE WHEN ok THEN CAST(total_amount AS DECIMAL(18,2)) END) AS DOUBLE) AS amount
           FROM rides GROUP BY 1, 2"""

@@ -360,9 +360,7 @@ def top_base(spark, sf_dir):
 
 @query(
     S.with_(S.FHV, S.ZONES)
-    + """SELECT Zone, count(*) AS trips
-         FROM (SELECT * FROM fhv f JOIN zones z ON f.PULocationID = z.LocationID) j
-         GROUP BY Zone ORDER BY trips DESC"""
+    + "SELECT Zone, count(*) AS trips FROM fhv, zones WHERE LocationID = PULocationID GROUP BY ALL"
 )
 def trips_per_zone(spark, sf_dir):
     return Z.trips_per_zone(B.fhv(spark, sf_dir, "PULocationID"), B.zones(spark, sf_dir))
@@ -370,11 +368,12 @@ def trips_per_zone(spark, sf_dir):
 
 @query(
     S.with_(S.FHV, S.ZONES)
-    + """SELECT coalesce(pu.Zone, 'Unknown') || ' / ' || coalesce(d.Zone, 'Unknown') AS pickup_dropoff,
-                count(*) AS trips
-         FROM fhv LEFT JOIN zones pu ON fhv.PULocationID = pu.LocationID
-                  LEFT JOIN zones d ON fhv.DOLocationID = d.LocationID
-         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"""
+    + """, named AS (
+             SELECT (SELECT max(Zone) FROM zones WHERE LocationID = PULocationID) AS a,
+                    (SELECT max(Zone) FROM zones WHERE LocationID = DOLocationID) AS b
+             FROM fhv)
+         SELECT concat(ifnull(a, 'Unknown'), ' / ', ifnull(b, 'Unknown')) AS pickup_dropoff, count(*) AS trips
+         FROM named GROUP BY ALL ORDER BY trips DESC, pickup_dropoff LIMIT 5"""
 )
 def top_zone_pair(spark, sf_dir):
     rows = B.fhv(spark, sf_dir, "PULocationID", "DOLocationID")
@@ -383,10 +382,10 @@ def top_zone_pair(spark, sf_dir):
 
 @query(
     S.with_(S.TRIPS, S.ZONES)
-    + """SELECT zdo.Zone AS dropoff_zone, max(tip_amount) AS max_tip_amount
-         FROM trips g LEFT JOIN zones zpu ON g.PULocationID = zpu.LocationID
-                      LEFT JOIN zones zdo ON g.DOLocationID = zdo.LocationID
-         WHERE zpu.Zone = 'NATION_3' GROUP BY zdo.Zone ORDER BY 2 DESC"""
+    + """, tips AS (
+             SELECT tip_amount, (SELECT max(Zone) FROM zones WHERE LocationID = DOLocationID) AS dropoff_zone
+             FROM trips WHERE PULocationID IN (SELECT LocationID FROM zones WHERE Zone = 'NATION_3'))
+         SELECT dropoff_zone, max(tip_amount) AS max_tip_amount FROM tips GROUP BY ALL"""
 )
 def max_tip_from_zone(spark, sf_dir):
     rows = B.trips(spark, sf_dir, "PULocationID", "DOLocationID", "tip_amount")

@@ -38,12 +38,15 @@ def build_session(app: str = "fareflow", master: str | None = None, **conf) -> S
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str | int) -> Iterator[None]:
     """A session setting that holds for the block only."""
-    before = spark.conf.get(key)
+    before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def shared_folder(spark: SparkSession) -> str:

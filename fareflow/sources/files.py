@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from fareflow.operators.cleaning import conform
+from fareflow.schemas import FeedSpec
 
 
 def read_csv(
@@ -51,6 +52,11 @@ def read_parquet(
     return reader.parquet(*paths)
 
 
+def read_feed(spark: SparkSession, paths: str | Sequence[str], feed: FeedSpec) -> DataFrame:
+    """A trip feed's files of any months under the feed's schema."""
+    return read_parquet(spark, paths, feed.schema)
+
+
 def read_conformed(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, strict: bool = True
 ) -> DataFrame:

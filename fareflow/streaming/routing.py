@@ -13,8 +13,8 @@ class AmountTopics:
     """Where rides go. The limit and the names of the two ride topics."""
 
     limit: float = 40.0
-    high: str = "datatalks.yellow_taxi_rides.high_amount"
-    low: str = "datatalks.yellow_taxi_rides.low_amount"
+    high: str = "yellow_taxi_rides.high_amount"
+    low: str = "yellow_taxi_rides.low_amount"
     reject: str = "rejects"
 
 

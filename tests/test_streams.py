@@ -120,12 +120,12 @@ def test_routed_files_are_written_once(spark, base):
         runner.append_to_files(routed, f"{base}/out", f"{base}/checkpoint", ["topic"])
         return spark.read.parquet(f"{base}/out").groupBy("topic").count()
 
-    want = sorted([("datatalks.yellow_taxi_rides.high_amount", 6), ("datatalks.yellow_taxi_rides.low_amount", 6),
+    want = sorted([("yellow_taxi_rides.high_amount", 6), ("yellow_taxi_rides.low_amount", 6),
                    ("rejects", 3 * (len(VALUES) - GOOD))], key=str)
     assert rows(run()) == want
     assert rows(run()) == want
     add_messages(spark, f"{base}/topic", [ride(5, 99.0)])
-    assert dict(rows(run()))["datatalks.yellow_taxi_rides.high_amount"] == 7
+    assert dict(rows(run()))["yellow_taxi_rides.high_amount"] == 7
 
 
 def test_hot_vendor_is_counted_before_the_shuffle(spark):
