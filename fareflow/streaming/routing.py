@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class AmountTopics:
-    """Where rides go. The limit and the names of the two ride topics."""
+    """Where rides go. Fixed value: the limit, in currency units."""
 
     limit: float = 40.0
     high: str = "yellow_taxi_rides.high_amount"
