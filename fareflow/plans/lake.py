@@ -38,11 +38,20 @@ def _fhv_csv(spark, sf_dir, **options) -> str:
 # --- sources --------------------------------------------------------------------------------
 
 
-@query(S.with_(S.ZONES) + "SELECT * FROM zones")
+@query(
+    S.with_(S.TRIPS, S.ZONES)
+    + """SELECT LocationID, Borough, Zone, count(PULocationID) AS trips
+         FROM zones LEFT JOIN trips ON PULocationID = LocationID GROUP BY ALL"""
+)
 def src_csv_zones(spark, sf_dir):
+    """The lookup from CSV, each zone with the number of trips that start there."""
     folder = new_folder(spark, "zones-csv")
     B.zones(spark, sf_dir).write.option("header", True).csv(folder)
-    return sources.read_csv(spark, folder, ZONES)
+    zones = sources.read_csv(spark, folder, ZONES)
+    starts = reports.count_by(B.trips(spark, sf_dir, "PULocationID"), "PULocationID")
+    return zones.join(starts, zones["LocationID"] == starts["PULocationID"], "left").select(
+        *ZONES.fieldNames(), F.coalesce("trips", F.lit(0)).alias("trips")
+    )
 
 
 @query(FHV_INT)
@@ -135,18 +144,21 @@ def src_name_pattern(spark, sf_dir):
     S.with_(S.TRADE)
     + """SELECT year, month, destination_country, origin_city, origin_state, section_cd, section_ds,
                 fob, net_weight, trade_bloc
-         FROM trade WHERE flow = 'exports' AND year = 1997"""
+         FROM trade WHERE flow = 'exports'"""
 )
 def trade_json_flatten(spark, sf_dir):
     names = [f"f{position:02d}" for position in range(len(TRADE_PAYLOAD))]
-    rows = B.trade(spark, sf_dir, *TRADE_PAYLOAD, flow=T.EXPORTS, years=(1997, 1997))
+    rows = B.trade(spark, sf_dir, *TRADE_PAYLOAD, flow=T.EXPORTS)
     record = F.struct(*[F.col(c).cast("string").alias(n) for c, n in zip(TRADE_PAYLOAD, names)])
     folder = new_folder(spark, "trade-json")
     documents = rows.select(
-        F.struct(F.array(record).alias("list")).alias("data"), F.col("month").alias("of_month")
+        F.struct(F.array(record).alias("list")).alias("data"),
+        F.col("year").alias("of_year"),
+        F.col("month").alias("of_month"),
     )
-    documents.write.partitionBy("of_month").json(folder)
-    return read_trade_payload(spark, f"{folder}/*", names, keep_bloc=True)
+    months = ["of_year", "of_month"]
+    files.spread_for(documents, months).write.partitionBy(*months).json(folder)
+    return read_trade_payload(spark, f"{folder}/*/*", names, keep_bloc=True)
 
 
 # --- sinks ----------------------------------------------------------------------------------
@@ -209,16 +221,14 @@ def table_replace(spark, sf_dir):
     return tables.append_table(rows, name, path)
 
 
-@query(_BY_MONTH_SQL.format(where="WHERE year(pickup_datetime) = 1997"))
+@query(_BY_MONTH_SQL.format(where=""))
 def table_append_idempotent(spark, sf_dir):
+    """All months are loaded, then those of one year again."""
     name, path = new_table("load"), new_folder(spark, "load")
-    rows = B.trips(spark, sf_dir, "pickup_datetime", "fare_amount").filter(
-        M.in_year("pickup_datetime", 1997)
-    )
+    rows = B.trips(spark, sf_dir, "pickup_datetime", "fare_amount")
     tables.create_by_date(rows.limit(0), name, PICKUP_MONTH, path=path)
     tables.load_dates(rows, name, PICKUP_MONTH)
-    second_quarter = M.days_between("pickup_datetime", "1997-04-01", "1997-06-30")
-    loaded = tables.load_dates(rows.filter(second_quarter), name, PICKUP_MONTH)
+    loaded = tables.load_dates(rows.filter(M.in_year("pickup_datetime", 1997)), name, PICKUP_MONTH)
     return _by_month(
         loaded.withColumns({"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")})
     )

@@ -11,6 +11,7 @@ from fareflow.plans import bindings as B
 from fareflow.plans import sql as S
 from fareflow.plans.registry import query
 from fareflow.schemas import AVERAGE_MEASURES, GREEN_FEED, YELLOW_FEED
+from fareflow.session import new_table
 
 DAY = "1997-05-28"
 
@@ -56,9 +57,9 @@ def project_columns(spark, sf_dir):
          FROM fhv"""
 )
 def project_except(spark, sf_dir):
-    kept = [c for c in B.FHV_COLUMNS if c not in ("PULocationID", "DOLocationID", "SR_Flag")]
-    B.fhv(spark, sf_dir, *kept, "SR_Flag").createOrReplaceTempView("fhv_except")
-    return spark.sql("SELECT * EXCEPT (SR_Flag) FROM fhv_except")
+    view = new_table("except")
+    B.fhv(spark, sf_dir).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT * EXCEPT (PULocationID, DOLocationID, SR_Flag) FROM {view}")
 
 
 @query(
