@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +58,19 @@ def fill_zero(df: DataFrame, column: str = "passenger_count") -> DataFrame:
     return df.fillna(0, subset=[column])
 
 
+def observe_quality(df: DataFrame, column: str, name: str | Observation) -> DataFrame:
+    """The same rows, counting rows, missing and zero values on their way.
+
+    The counts belong to the job that reads the rows anyway; a stream reports them per batch.
+    """
+    return df.observe(
+        name,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(is_missing(df, column)).alias("missing"),
+        F.count_if(F.col(column).eqNullSafe(F.lit(0))).alias("zero"),
+    )
+
+
 def quality_counters(df: DataFrame, column: str = "passenger_count") -> DataFrame:
     """Rows, missing and zero values as read, after :func:`drop_zero` and after :func:`fill_zero`.
 

@@ -31,6 +31,34 @@ def by_place(trade: DataFrame) -> DataFrame:
     return traded_by(trade, "origin_state", "origin_city", "destination_country")
 
 
+def yearly_changes(
+    exports: DataFrame, place: Sequence[str], first_year: int, last_year: int
+) -> DataFrame:
+    """Value of each place and year against the calendar year before, from the second year on.
+
+    A missing year counts as 0; a place and year without trade in either year has no line. Each
+    yearly total is passed to its own year and to the next one, so neither a grid of all places
+    and years nor an ordered window is needed.
+    """
+    yearly = (
+        exports.filter(F.col("year").between(first_year, last_year))
+        .groupBy(*place, "year")
+        .agg(F.sum("fob").alias("fob"))
+    )
+    none = F.lit(0).cast("bigint")
+    own = F.struct("year", F.col("fob").alias("current_fob"), none.alias("previous_fob"))
+    next_ = F.struct(
+        (F.col("year") + 1).alias("year"), none.alias("current_fob"), F.col("fob").alias("previous_fob")
+    )
+    return (
+        yearly.select(*place, F.inline(F.array(own, next_)))
+        .filter(F.col("year").between(first_year + 1, last_year))
+        .groupBy(*place, "year")
+        .agg(F.sum("previous_fob").alias("previous_fob"), F.sum("current_fob").alias("current_fob"))
+        .withColumn("change_fob", F.col("current_fob") - F.col("previous_fob"))
+    )
+
+
 def biggest_changes(
     exports: DataFrame, place: Sequence[str], year: int, n: int = 5
 ) -> DataFrame:

@@ -28,12 +28,13 @@ def _nullif(column: Column, value: int) -> Column:
     return F.when(column != value, column)
 
 
-# column -> (tables needed besides lineitem, expression); built late: columns need a session
+def _base_number(key: Column) -> Column:
+    return F.concat(F.lit("B"), F.lpad(key.cast("string"), 5, "0"))
 
 
 def _trip_columns() -> dict[str, tuple[set[str], Column]]:
+    """Column -> the tables it needs besides lineitem, and its expression."""
     line = F.col("l_linenumber")
-    base = lambda key: F.concat(F.lit("B"), F.lpad(key.cast("string"), 5, "0"))
     return {
         "VendorID": (set(), line.cast("long")),
         "pickup_datetime": ({"orders"}, F.col("o_orderdate")),
@@ -51,9 +52,9 @@ def _trip_columns() -> dict[str, tuple[set[str], Column]]:
             F.when(F.col("l_linestatus") == "F", F.lit("green")).otherwise(F.lit("yellow")),
         ),
         "payment_type": (set(), (1 + line % 4).cast("long")),
-        "dispatching_base_num": (set(), base(F.col("l_suppkey"))),
+        "dispatching_base_num": (set(), _base_number(F.col("l_suppkey"))),
         "SR_Flag": (set(), F.col("l_returnflag")),
-        "Affiliated_base_number": (set(), base(F.col("l_partkey") % 50)),
+        "Affiliated_base_number": (set(), _base_number(F.col("l_partkey") % 50)),
     }
 
 

@@ -280,6 +280,25 @@ def ctas_partitioned(spark, sf_dir):
     return reports.distinct_values(june, "VendorID")
 
 
+PICKUP_DAY = tables.DateLayout("pickup_datetime", "day")
+
+
+@query(
+    S.with_(S.DURATIONS)
+    + """SELECT CAST(pickup_datetime AS DATE) AS pickup_date, count(*) AS trips, max(dropoff_datetime) AS last_dropoff
+         FROM durations WHERE CAST(pickup_datetime AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+         GROUP BY 1"""
+)
+def ctas_partitioned_by_day(spark, sf_dir):
+    table = tables.create_by_date(
+        B.durations(spark, sf_dir), new_table("daily"), PICKUP_DAY, path=new_folder(spark, "daily")
+    )
+    chosen = tables.between_dates(table, PICKUP_DAY, "2024-01-05", "2024-01-20")
+    return chosen.groupBy(F.col(PICKUP_DAY.column).alias("pickup_date")).agg(
+        F.count(F.lit(1)).alias("trips"), F.max("dropoff_datetime").alias("last_dropoff")
+    )
+
+
 @query(
     S.with_(S.TRIPS)
     + """, answer AS (SELECT count(*) AS trips FROM trips

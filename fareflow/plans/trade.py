@@ -27,10 +27,10 @@ def imports_by_place(spark, sf_dir):
     return T.by_place(B.trade(spark, sf_dir, *PLACE, "fob", "net_weight", flow=T.IMPORTS))
 
 
-def _change_sql(*place: str) -> str:
+def _changes(*place: str) -> tuple[str, ...]:
     """Every place gets a line for every year, 0 where it did not trade, before the comparison."""
     names = ", ".join(place)
-    return S.with_(
+    return (
         S.TRADE,
         "exported AS (SELECT * FROM trade WHERE flow = 'exports')",
         f"grid AS (SELECT * FROM (SELECT DISTINCT {names} FROM exported) p, generate_series(1995, 2001) y(year))",
@@ -38,6 +38,13 @@ def _change_sql(*place: str) -> str:
             FROM grid g LEFT JOIN exported e USING ({names}, year) GROUP BY ALL)""",
         f"""changes AS (SELECT *, lag(current_fob) OVER (PARTITION BY {names} ORDER BY year) AS previous_fob
             FROM yearly)""",
+    )
+
+
+def _biggest_sql(*place: str) -> str:
+    names = ", ".join(place)
+    return S.with_(
+        *_changes(*place),
         f"""last_year AS (SELECT {names}, previous_fob, current_fob, current_fob - previous_fob AS change_fob
             FROM changes WHERE year = 2000)""",
     ) + f"""
@@ -50,20 +57,32 @@ def _change_sql(*place: str) -> str:
             (SELECT * FROM last_year WHERE change_fob < 0 ORDER BY change_fob, {names} LIMIT 5) d"""
 
 
-@query(_change_sql("origin_state", "origin_city"))
+@query(_biggest_sql("origin_state", "origin_city"))
 def export_change_by_city(spark, sf_dir):
     place = ("origin_state", "origin_city")
     rows = B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS, years=(1999, 2000))
     return T.biggest_changes(rows, place, 2000)
 
 
-@query(_change_sql("origin_state"))
+@query(_biggest_sql("origin_state"))
 def export_change_by_state(spark, sf_dir):
     place = ("origin_state",)
     rows = B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS, years=(1999, 2000))
     return T.biggest_changes(rows, place, 2000)
 
 
+@query(
+    S.with_(*_changes("origin_state", "origin_city"))
+    + """SELECT origin_state, origin_city, CAST(year AS INTEGER) AS year, previous_fob, current_fob,
+                current_fob - previous_fob AS change_fob
+         FROM changes WHERE year > 1995 AND previous_fob + current_fob > 0"""
+)
+def export_changes_by_city_and_year(spark, sf_dir):
+    place = ("origin_state", "origin_city")
+    rows = B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS)
+    return T.yearly_changes(rows, place, 1995, 2001)
+
+
 @query(
     S.with_(S.TRADE)
     + """, yearly AS (SELECT year, destination_country, CAST(sum(fob) AS BIGINT) AS fob FROM trade GROUP BY 1, 2)

@@ -82,6 +82,17 @@ def external_table(
     return spark.table(name)
 
 
+def catalog_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """An external table in the catalog over one folder, with its partitions if it has any.
+
+    Dropping the table leaves the files.
+    """
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
 def month_paths(root: str, years: Iterable[int], months: Iterable[int]) -> list[str]:
     """The folders of a ``year=/month=`` layout for the given years and months."""
     months = list(months)

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from fareflow.operators import cleaning
@@ -61,6 +62,13 @@ def test_quality_counters(spark):
     assert ("read", 2, 1, 1) in rows(cleaning.quality_counters(whole))
 
 
+def test_counters_can_ride_along(spark):
+    df = spark.createDataFrame([(0.0,), (None,), (NAN,), (2.0,)], "passenger_count double")
+    seen = Observation("quality")
+    assert cleaning.observe_quality(df, "passenger_count", seen).count() == 4
+    assert seen.get == {"rows": 4, "missing": 2, "zero": 1}
+
+
 def test_union_widens_and_tags(spark):
     green = spark.createDataFrame([tuple([None] * len(GREEN))], GREEN).withColumn("payment_type", F.lit(2.0))
     yellow = spark.createDataFrame([tuple([None] * len(YELLOW))], YELLOW).withColumn("payment_type", F.lit(1).cast("long"))

@@ -158,6 +158,18 @@ def test_external_table_over_prefixes(spark, folder):
     assert table.count() == 2019 + 2020
 
 
+def test_catalog_table_finds_its_partitions(spark, folder):
+    dated = trips(spark).withColumn("month", F.month("pickup_datetime"))
+    files.write_partitioned(dated, folder, ["month"])
+    table = sources.catalog_table(spark, new_table("external"), folder)
+    assert table.count() == 3000
+    text = plan(table.filter("month = 2"))
+    assert "month" in text[text.index("PartitionFilters"):text.index("PushedFilters")]
+    plain = f"{folder}-plain"
+    files.write_parquet(trips(spark), plain)
+    assert sources.catalog_table(spark, new_table("external"), plain).count() == 3000
+
+
 def test_month_paths(spark, folder):
     dated = trips(spark).withColumns({"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")})
     files.write_partitioned(dated, folder, ["year", "month"])

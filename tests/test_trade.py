@@ -65,6 +65,17 @@ def test_biggest_changes_counts_a_missing_year_as_zero(trade, data, year):
     assert [(r.origin_city, r.change_fob) for r in got if r.direction == "decrease"] == [(c, v) for v, c in down]
 
 
+def test_yearly_changes(trade, data):
+    fob = totals(data, ("origin_city", "year"), "fob", lambda r: r[0] == "exports")
+    want = {}
+    for city in {c for c, _ in list(fob)}:
+        for year in range(1998, 2002):
+            if fob.get((city, year)) or fob.get((city, year - 1)):
+                want[city, year] = fob.get((city, year), 0) - fob.get((city, year - 1), 0)
+    got = T.yearly_changes(trade.filter("flow = 'exports'"), ["origin_city"], 1997, 2001).collect()
+    assert {(r.origin_city, r.year): r.change_fob for r in got} == want
+
+
 def test_changes_and_balance_read_the_trade_rows_once(trade):
     for result in (T.biggest_changes(trade, ["origin_city"], 2000), T.trade_balance(trade)):
         assert plan(result).count("InMemoryTableScan") == 1
