@@ -175,10 +175,6 @@ def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# column -> tables needed besides lineitem, orders and the two parties
-_TRADE_PART = {"section_cd": "p_brand", "section_ds": "p_type"}
-
-
 def trade(
     spark: SparkSession,
     sf_dir: str,
@@ -218,7 +214,7 @@ def trade(
     rows = table(spark, sf_dir, "lineitem")
     for other, match in reversed(joins) if flow == "exports" else joins:
         rows = rows.join(other, match)
-    if not columns or set(columns) & set(_TRADE_PART):
+    if not columns or {"section_cd", "section_ds"} & set(columns):
         part = table(spark, sf_dir, "part")
         rows = rows.join(part, F.col("l_partkey") == part["p_partkey"])
 

@@ -73,15 +73,15 @@ def src_parquet(spark, sf_dir):
     return sources.read_parquet(spark, f"{sf_dir}/orders.parquet")
 
 
-ORDER_TRIPS = fields("o_orderkey int, o_custkey int, o_orderdate date, o_totalprice double")
+RIDE_DAYS = fields("EVENT_ID long, user_id int, ts date, value double")
 
 
 @query(
-    """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
-              CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice FROM orders"""
+    """SELECT event_id AS EVENT_ID, CAST(user_id AS INTEGER) AS user_id, CAST(ts AS DATE) AS ts, value
+       FROM events"""
 )
 def src_parquet_conformed(spark, sf_dir):
-    return sources.read_conformed(spark, f"{sf_dir}/orders.parquet", ORDER_TRIPS)
+    return sources.read_conformed(spark, f"{sf_dir}/events.parquet", RIDE_DAYS)
 
 
 def _monthly_folders(spark, sf_dir, *columns) -> str:

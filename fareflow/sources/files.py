@@ -31,12 +31,7 @@ def read_csv(
 
 def infer_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """CSV with types found by reading all of it."""
-    return (
-        spark.read.option("header", True)
-        .option("inferSchema", True)
-        .option("prefersDate", True)
-        .csv(paths)
-    )
+    return spark.read.option("header", True).option("inferSchema", True).csv(paths)
 
 
 def read_parquet(

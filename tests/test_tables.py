@@ -121,7 +121,8 @@ def test_partition_row_counts_read_no_column(spark):
 
 def test_bucketed_tables_join_without_a_shuffle(spark):
     left = tables.create_bucketed(trips(spark), new_table("l"), "VendorID", 4)
-    right = tables.create_bucketed(spark.range(7).withColumnRenamed("id", "VendorID").withColumn("VendorID", F.col("VendorID").cast("int")), new_table("r"), "VendorID", 4)
+    vendors = spark.range(7).select(F.col("id").cast("int").alias("VendorID"))
+    right = tables.create_bucketed(vendors, new_table("r"), "VendorID", 4)
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         joined = left.join(right, "VendorID")
         assert "Exchange" not in plan(joined)
@@ -130,8 +131,12 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
 
 def test_ddl(spark):
     df = trips(spark)
-    assert tables.table_ddl(df, "t") == "CREATE TABLE t (`VendorID` int, `pickup_datetime` timestamp_ntz, `fare` double) USING parquet"
-    assert rows(tables.describe_columns(df)) == [(1, "VendorID", "int"), (2, "pickup_datetime", "timestamp_ntz"), (3, "fare", "double")]
+    assert tables.table_ddl(df, "t") == (
+        "CREATE TABLE t (`VendorID` int, `pickup_datetime` timestamp_ntz, `fare` double) USING parquet"
+    )
+    assert rows(tables.describe_columns(df)) == [
+        (1, "VendorID", "int"), (2, "pickup_datetime", "timestamp_ntz"), (3, "fare", "double"),
+    ]
 
 
 def test_csv_without_schema_is_text_and_gzip_is_spread(spark, folder):
