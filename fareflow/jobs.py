@@ -96,9 +96,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
         job = chosen.add_parser(name)
         for option in options:
             job.add_argument(f"--{option}", required=True)
+    for job in chosen.choices.values():
+        job.add_argument("--shuffle-bytes", type=int, help="size of the largest shuffle")
     values = vars(parser.parse_args(arguments))
     run, options = JOBS[values["job"]]
-    run(build_session(f"fareflow {values['job']}"), *[values[option] for option in options])
+    spark = build_session(f"fareflow {values['job']}", shuffle_bytes=values["shuffle_bytes"])
+    run(spark, *[values[option] for option in options])
 
 
 if __name__ == "__main__":

@@ -12,11 +12,24 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(app: str = "fareflow", master: str | None = None, **conf) -> SparkSession:
+# A shuffle partition of this size is sorted in the memory of one task.
+PARTITION_BYTES = 128 * 1024**2
+
+
+def shuffle_partitions(shuffle_bytes: int, at_least: int = 200) -> int:
+    """How many partitions keep a shuffle of this many bytes in task memory."""
+    return max(at_least, -(-shuffle_bytes // PARTITION_BYTES))
+
+
+def build_session(
+    app: str = "fareflow", master: str | None = None, shuffle_bytes: int | None = None, **conf
+) -> SparkSession:
     """A session with the settings the jobs are written for.
 
-    Shuffle partitions are left to the cluster: adaptive execution coalesces small ones and splits
-    skewed joins and rebalanced writes. ``conf`` overrides any setting (dots written as ``__``).
+    Adaptive execution merges small shuffle partitions and splits skewed joins and rebalanced
+    writes, but it does not add partitions to an evenly large shuffle: ``shuffle_bytes``, the size
+    of the largest one, sets how many there are to begin with. ``conf`` overrides any setting
+    (dots written as ``__``).
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -26,6 +39,8 @@ def build_session(app: str = "fareflow", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
     }
+    if shuffle_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes))
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:
