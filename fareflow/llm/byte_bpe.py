@@ -114,6 +114,11 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(read_ranks(path), pattern)
 
 
+def id_lists(each: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) // IDS.itemsize for x in each], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(each), IDS).astype(np.int32))
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """The rows with their ids (array of int) in a column that replaces ``ids``, if there is one.
 
@@ -124,10 +129,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, ids: str = "ids")
         engine = codec(path, pattern)
 
         def compute(batch: pa.RecordBatch):
-            each = engine.encode(batch.column("text").to_pylist())
-            ends = np.cumsum([0] + [len(x) // 4 for x in each], dtype=np.int32)
-            flat = np.frombuffer(b"".join(each), IDS).astype(np.int32)
-            return {ids: pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}
+            return {ids: id_lists(engine.encode(batch.column("text").to_pylist()))}
 
         return compute
 
@@ -148,20 +150,27 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", column: st
     return map_rows(encoded.withColumn("_size", F.lit("")), make, f"`{column}` binary", ("_size",), "_size")
 
 
-def digests(docs: DataFrame, path: str, pattern: str, drop: tuple[str, ...] = ()) -> DataFrame:
-    """Number and SHA-256 of the ids and SHA-256 of the bytes they decode to, ids and bytes not kept."""
+def digests(
+    docs: DataFrame, path: str, pattern: str, drop: tuple[str, ...] = (), ids: str | None = None
+) -> DataFrame:
+    """Number and SHA-256 of the ids and SHA-256 of the bytes they decode to, for every row.
+
+    A null or empty text has no ids. ``ids`` names a column that is to hold the ids themselves.
+    """
+    added = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (f", `{ids}` array<int>" if ids else "")
 
     def make():
         engine = codec(path, pattern)
 
         def compute(batch: pa.RecordBatch):
-            counts, ids_sha, text_sha = [], [], []
-            for ids in engine.encode(batch.column("text").to_pylist()):
-                counts.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(hashlib.sha256(engine.decode(ids)).hexdigest())
-            return {"n_tokens": counts, "ids_sha256": ids_sha, "decoded_sha256": text_sha}
+            each = engine.encode(batch.column("text").to_pylist())
+            out = {
+                "n_tokens": [len(x) // IDS.itemsize for x in each],
+                "ids_sha256": [hashlib.sha256(x).hexdigest() for x in each],
+                "decoded_sha256": [hashlib.sha256(engine.decode(x)).hexdigest() for x in each],
+            }
+            return out | ({ids: id_lists(each)} if ids else {})
 
         return compute
 
-    return map_rows(docs, make, "n_tokens long, ids_sha256 string, decoded_sha256 string", drop)
+    return map_rows(docs, make, added, drop)

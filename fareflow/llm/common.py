@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from fareflow.session import new_folder
 
@@ -83,12 +83,17 @@ def map_rows(
             for part in slices(batch, text):
                 got = compute(part)
                 columns = [part.column(n) for n in names]
-                columns += [pa.array(got[f.name], f.type) for f in arrow]
+                columns += [x if isinstance(x := got[f.name], pa.Array) else pa.array(x, f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(columns, names + arrow.names)
 
     return df.mapInArrow(run, schema)
 
 
+def struct(**columns: T.DataType) -> T.StructType:
+    """A schema of nullable columns that needs no session."""
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
 def emit(schema: T.StructType, rows: dict[str, Sequence]) -> pa.RecordBatch:
     arrow = to_arrow_schema(schema)
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in arrow], schema=arrow)
@@ -97,9 +102,3 @@ def emit(schema: T.StructType, rows: dict[str, Sequence]) -> pa.RecordBatch:
 def text_key(column: str = "text"):
     """128 bits of the text; a null and an empty text have the same."""
     return F.unhex(F.md5(F.coalesce(F.col(column), F.lit(""))))
-
-
-__all__ = [
-    "BLANKS", "WORD", "words", "table", "written", "free_name", "slices", "map_rows", "emit", "text_key",
-    "from_arrow_schema", "to_arrow_schema",
-]

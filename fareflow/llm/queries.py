@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import byte_bpe, quality, token_counts
+from fareflow.llm import (
+    byte_bpe, chat, html_text, language, line_dedup, mixing, near_dedup, quality, token_counts, topk,
+)
 from fareflow.llm.common import table
 from fareflow.llm.sql import SQL
 from fareflow.session import new_folder
@@ -23,6 +25,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*names, "base_failed", "kept")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, drop=("html",))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache is new in each run, so every run encodes each different text once."""
     cache = new_folder(spark, "token-cache")
@@ -36,13 +47,40 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(docs, MULTI_BPE, public_tokenizers.PATTERN, drop=("text",))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.with_extra(table(spark, sf_dir, "conversations")), BYTE_BPE)
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_html_text,
+        op3_language,
         op4_token_counts,
         op5_byte_bpe,
+        op6_mixing,
+        op7_chat,
+        op8_top_k,
+        op9_near_dedup,
+        op10_line_dedup,
     )
 }
 

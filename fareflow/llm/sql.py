@@ -80,3 +80,80 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          OR (h_length AND bad_length)) AS kept
 FROM rules JOIN hosts ON rules.source IS NOT DISTINCT FROM hosts.source
 """
+
+# The targets in closed form: of the sources ordered by limit per weight, the first k are cut off,
+# with the smallest k at which the others' parts are within their limits.
+SQL["op6_mixing"] = r"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 13))::BIGINT
+            / 4503599627370496.0::DOUBLE AS chance
+    FROM documents
+),
+s AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+        CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+    FROM d GROUP BY source
+),
+ordered AS (
+    SELECT *, sum(source_size) OVER () AS total, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS k,
+        coalesce(sum(2 * source_size) OVER before, 0) AS held, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS rest
+    FROM s WINDOW before AS (
+        ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+levels AS (SELECT *, (1.5::DOUBLE * total - held) / rest AS level FROM ordered),
+chosen AS (SELECT arg_min(level, k) AS level FROM levels WHERE 2 * source_size >= weight * level),
+t AS (
+    SELECT source, source_size, least((2 * source_size)::DOUBLE, weight * level) AS target FROM s, chosen
+),
+r AS (
+    SELECT doc_id, size, source_size, target, chance,
+        CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+    (size * (floor(rate) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM r
+"""
+
+SQL["op8_top_k"] = """
+WITH v AS (
+    SELECT vec_id, min(embedding::DOUBLE[]) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    GROUP BY vec_id
+),
+i AS (SELECT vec_id, list_transform(e, lambda x: floor(64 * x)) AS e FROM v),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+    FROM i q JOIN i c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
+) WHERE rank <= 20
+"""
+
+SQL["op10_line_dedup"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, -9223372036854775808) AS id,
+        string_split(coalesce(text, ''), chr(10)) AS lines
+    FROM documents
+),
+l AS (
+    SELECT rid, doc_id, id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d
+),
+k AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM l
+),
+common AS (
+    SELECT key, max(id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT id) >= 3
+),
+judged AS (
+    SELECT k.*, keeper IS NOT NULL AND keeper <> id AS gone FROM k LEFT JOIN common USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY rid
+"""
