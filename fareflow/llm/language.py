@@ -8,7 +8,6 @@ penalty. The largest proportion names the text.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,6 @@ from fareflow.llm.common import struct, emit, map_rows, slices
 
 UNKNOWN = "und"
 COUNTS = struct(lang=T.StringType(), bucket=T.IntegerType(), n=T.LongType())
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII that is no letter becomes a space.
 _SPACES = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -62,7 +60,7 @@ class Model:
 
     def predict(self, text: str | None, settings: Settings) -> tuple[str, float]:
         """The main language and its part; UNKNOWN and 0 without letters, or if nothing was learned."""
-        if text is None or not self.languages or not _LETTER.search(text):
+        if text is None or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         count = np.bincount(buckets(text, settings.bits))
         seen = np.flatnonzero(count)

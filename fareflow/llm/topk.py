@@ -64,7 +64,7 @@ def matrix(column: pa.ChunkedArray, width: int, scale: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = np.floor(out * scale)
     out = np.clip(out, -1e300, 1e300)
-    most = np.abs(out).max(initial=0)
+    most = float(np.abs(out).max(initial=0))
     if most * most * max(width, 1) < 2**52:
         return out
     return np.array([[int(x) for x in row] for row in out.tolist()], object).reshape(out.shape)
