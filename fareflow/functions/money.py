@@ -1,9 +1,12 @@
-"""Order-independent sums of two-decimal amounts held as doubles.
+"""Sums and averages of doubles that do not depend on the order of rows.
 
-A sum of doubles depends on the order rows arrive in. Amounts are therefore counted in whole
-hundredths as ``bigint``: the sum is exact, stays in generated code and costs what a double sum
-costs, where a DECIMAL(18,2) sum takes about ten times as long. The result is exact up to 9e16
-currency units; beyond that ANSI mode raises an overflow instead of returning a wrong value.
+A sum of doubles depends on the order rows arrive in. Values are therefore split into whole hundredths,
+summed as ``bigint``, and the rest below a hundredth, summed as a double. For amounts of two decimals
+the rest is exactly 0 and the sum is exact; finer values lose nothing, as their rests are small. This
+costs about what two double sums cost, where a DECIMAL(18,2) sum takes about ten times as long.
+
+NaN counts as missing, in sums and averages. An infinite value makes the result infinite (NaN if there
+are both). Beyond 9e16 units ANSI mode raises an overflow instead of returning a wrong value.
 """
 
 from __future__ import annotations
@@ -14,24 +17,44 @@ from pyspark.sql import functions as F
 HUNDREDTHS = 100
 
 
-def hundredths(amount: Column | str) -> Column:
-    """The amount in whole hundredths; NaN counts as missing."""
+def _known(amount: Column | str) -> Column:
+    """The value as a double; NaN counts as missing."""
     amount = F.col(amount) if isinstance(amount, str) else amount
-    known = F.nanvl(amount.cast("double"), F.lit(None).cast("double"))
-    return F.rint(known * F.lit(float(HUNDREDTHS))).cast("bigint")
+    return F.nanvl(amount.cast("double"), F.lit(None).cast("double"))
+
+
+def _finite(known: Column) -> Column:
+    return F.when(F.abs(known) != F.lit(float("inf")), known)
+
+
+def hundredths(amount: Column | str) -> Column:
+    """The amount in whole hundredths; NaN and infinite values count as missing."""
+    return F.rint(_finite(_known(amount)) * F.lit(float(HUNDREDTHS))).cast("bigint")
 
 
 def from_hundredths(total: Column) -> Column:
     return total.cast("double") / F.lit(float(HUNDREDTHS))
 
 
+def _total(amount: Column | str) -> Column:
+    known = _known(amount)
+    finite = _finite(known)
+    # The nearest hundredth as a double: of a two-decimal amount, the amount itself.
+    rest = finite - F.rint(finite * F.lit(float(HUNDREDTHS))) / F.lit(float(HUNDREDTHS))
+    infinite = F.sum(F.when(F.abs(known) == F.lit(float("inf")), known))
+    return F.coalesce(infinite, from_hundredths(F.sum(hundredths(amount))) + F.sum(rest))
+
+
 def exact_sum(amount: Column | str) -> Column:
-    """Sum of a two-decimal amount as a double, the same in every run."""
-    return from_hundredths(F.sum(hundredths(amount)))
+    """Sum of the known values as a double; null if there is none."""
+    return _total(amount)
 
 
 def exact_avg(amount: Column | str) -> Column:
-    """Average over the non-missing values, the same in every run."""
-    units = hundredths(amount)
-    present = F.count(units)
-    return F.when(present > 0, from_hundredths(F.sum(units)) / present)
+    """Average over the known values; null if there is none."""
+    return F.try_divide(_total(amount), F.count(_known(amount)))
+
+
+def unknown_count(amount: Column | str) -> Column:
+    """How many values a sum or average leaves out: null or NaN."""
+    return F.count(F.lit(1)) - F.count(_known(amount))

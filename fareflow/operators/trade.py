@@ -31,6 +31,12 @@ def by_place(trade: DataFrame) -> DataFrame:
     return traded_by(trade, "origin_state", "origin_city", "destination_country")
 
 
+def year_span(trade: DataFrame) -> tuple[int, int]:
+    """The first and last year with trade; reads the year alone. (0, 0) of a table without rows."""
+    first, last = trade.agg(F.min("year"), F.max("year")).first()
+    return (0, 0) if first is None else (first, last)
+
+
 def yearly_changes(
     exports: DataFrame, place: Sequence[str], first_year: int, last_year: int
 ) -> DataFrame:
@@ -114,27 +120,29 @@ def partner_forecast(
 ) -> DataFrame:
     """Countries by the value a least-squares line through their yearly totals gives next year.
 
-    The line is solved from whole-number sums, so it does not depend on the order of rows; a
-    country with a single year keeps that year's value.
+    A year without trade counts as 0, as in the other questions. The line is solved from whole-number
+    sums, so it does not depend on the order of rows; a span of one year keeps that year's value.
     """
+    span = last_year - first_year + 1
     years = trade.filter(F.col("year").between(first_year, last_year))
     yearly = years.groupBy("destination_country", "year").agg(F.sum("fob").alias("fob"))
     # Whole numbers of up to 38 digits; these rows are one per country and year.
     x = (F.col("year") - F.lit(first_year)).cast("decimal(10,0)")
     y = F.col("fob").cast("decimal(20,0)")
     sums = yearly.groupBy("destination_country").agg(
-        F.count(F.lit(1)).cast("decimal(10,0)").alias("n"),
-        F.sum(x).cast("decimal(10,0)").alias("x"),
         F.sum(y).cast("decimal(22,0)").alias("y"),
-        F.sum(x * x).cast("decimal(10,0)").alias("xx"),
         F.sum(x * y).cast("decimal(24,0)").alias("xy"),
     )
     target = F.lit(last_year + 1 - first_year).cast("decimal(10,0)")
-    base = F.col("n") * F.col("xx") - F.col("x") * F.col("x")
-    rise = F.col("n") * F.col("xy") - F.col("x") * F.col("y")
-    level = F.col("y") * F.col("xx") - F.col("x") * F.col("xy")
-    line = (level + target * rise).cast("double") / base.cast("double")
-    value = F.when(base == 0, F.col("y").cast("double")).otherwise(line)
+    # Sums over the years 0, 1, ..., span - 1 of the year and of its square.
+    whole = lambda number: F.lit(number).cast("decimal(10,0)")
+    of_x, of_xx = span * (span - 1) // 2, span * (span - 1) * (2 * span - 1) // 6
+    base = span * of_xx - of_x * of_x
+    rise = whole(span) * F.col("xy") - whole(of_x) * F.col("y")
+    level = F.col("y") * whole(of_xx) - whole(of_x) * F.col("xy")
+    value = F.col("y").cast("double")
+    if base:
+        value = (level + target * rise).cast("double") / F.lit(float(base))
     return (
         sums.select(
             "destination_country",

@@ -1,8 +1,9 @@
 """The feeds, lookups and topics, as views of the driver's test tables (see FIXTURES.md).
 
-A builder takes the columns a query needs and joins only the tables those columns come from: the
-tables are linked by declared keys that always resolve, so an unused lookup adds nothing but a
-shuffle. The check SQL always joins everything, which tests that claim on each run.
+A ride is an order line; what its order, customer or supplier would say is null where that is missing
+(left joins on unique keys). A builder takes the columns a query needs and joins only the tables those
+columns come from: an unused lookup could neither add nor drop a row. The check SQL always joins
+everything, which tests that claim on each run.
 """
 
 from __future__ import annotations
@@ -90,11 +91,11 @@ def _rides(
         if "customer" in needed:
             # Orders, not the several times larger lines, are shuffled by customer.
             customer = table(spark, sf_dir, "customer")
-            orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if "supplier" in needed:
         supplier = table(spark, sf_dir, "supplier")
-        rows = rows.join(supplier, F.col("l_suppkey") == supplier["s_suppkey"])
+        rows = rows.join(supplier, F.col("l_suppkey") == supplier["s_suppkey"], "left")
     return rows.select(*[expression.alias(name) for name, (_, expression) in chosen.items()])
 
 
@@ -144,11 +145,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def hourly_feed(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    """A feed with times within the day: purchases are green trips, clicks yellow ones."""
+def hourly_feed(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
+    """A feed with times within the day: purchases are green trips, all other events yellow ones."""
+    green = F.col("event_type").eqNullSafe("purchase")
     return (
         events(spark, sf_dir)
-        .filter(F.col("event_type") == event_type)
+        .filter(green if service == "green" else ~green)
         .select(
             F.col("ts").alias("pickup_datetime"),
             _nullif(F.col("user_id") % 25, 7).alias("PULocationID"),
@@ -216,7 +218,7 @@ def trade(
         rows = rows.join(other, match)
     if not columns or {"section_cd", "section_ds"} & set(columns):
         part = table(spark, sf_dir, "part")
-        rows = rows.join(part, F.col("l_partkey") == part["p_partkey"])
+        rows = rows.join(part, F.col("l_partkey") == part["p_partkey"], "left")
 
     home_supplier = F.col("s_region") == HOME_REGION
     home_customer = F.col("c_region") == HOME_REGION
@@ -263,7 +265,8 @@ def ride_columns(clean: bool = True) -> tuple[dict[str, Column], dict[str, Colum
 def ride_messages(rows: DataFrame, clean: bool = True) -> DataFrame:
     """Events, batch or stream, as the ride topic of four partitions.
 
-    Unless ``clean``, every hundredth value is not JSON and the one after it lacks its amount.
+    Unless ``clean``, of every hundred values one is not JSON, the next lacks its amount, another has
+    text after the document, and another's amount is NaN.
     """
     key, value = ride_columns(clean)
     messages = encode(
@@ -276,8 +279,15 @@ def ride_messages(rows: DataFrame, clean: bool = True) -> DataFrame:
     )
     if clean:
         return messages
-    broken = (F.col("partition") == 0) & (F.col("offset") % 25 == 0)
-    return messages.withColumn("value", F.when(broken, F.lit("not json")).otherwise(F.col("value")))
+    number = (4 * F.col("offset") + F.col("partition")) % 100
+    value = F.col("value")
+    broken = (
+        F.when(number == 0, F.lit("not json"))
+        .when(number == 2, F.concat(value, F.lit(" trailing")))
+        .when(number == 3, F.regexp_replace(value, r'"total_amount":[^,}]*', '"total_amount":NaN'))
+        .otherwise(value)
+    )
+    return messages.withColumn("value", broken)
 
 
 def price_messages(rows: DataFrame) -> DataFrame:

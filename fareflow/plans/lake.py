@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fareflow.functions import moments as M
@@ -12,10 +13,11 @@ from fareflow.plans import bindings as B
 from fareflow.plans import sql as S
 from fareflow.plans.registry import query
 from fareflow.plans.trips import both_feeds
-from fareflow.schemas import FOR_HIRE, TRADE_PAYLOAD, ZONES, fields
+from fareflow.schemas import FOR_HIRE, TRADE_PAYLOAD, YELLOW_FEED, ZONES, fields
 from fareflow.session import new_folder, new_table
 from fareflow.sinks import files, tables
 from fareflow.sources import files as sources
+from fareflow.sources.payload import payload_rejects as read_payload_rejects
 from fareflow.sources.payload import read_trade_payload
 
 PICKUP_MONTH = tables.DateLayout("pickup_datetime", "month")
@@ -56,9 +58,21 @@ def src_csv_zones(spark, sf_dir):
 
 @query(FHV_INT)
 def src_csv_gz_typed(spark, sf_dir):
-    return sources.read_csv(
-        spark, _fhv_csv(spark, sf_dir, compression="gzip") + "/*.csv.gz", FOR_HIRE
-    )
+    """Each gzip file is decompressed by one task; typing its rows is spread."""
+    files_ = _fhv_csv(spark, sf_dir, compression="gzip") + "/*.csv.gz"
+    text = sources.read_csv(spark, files_, parallelism=spark.sparkContext.defaultParallelism)
+    typed = cleaning.fix_timestamps(text, ["pickup_datetime", "dropoff_datetime"])
+    return cleaning.conform(typed, FOR_HIRE)
+
+
+@query(FHV_INT)
+def src_csv_reordered(spark, sf_dir):
+    """The file's columns stand in another order than the schema's, with one more between them."""
+    folder = new_folder(spark, "fhv-reordered")
+    rows = B.fhv(spark, sf_dir)
+    shuffled = rows.select(*reversed(rows.columns[3:]), F.lit("x").alias("note"), *rows.columns[:3])
+    shuffled.write.options(header=True, timestampNTZFormat=TEXT_TIME).csv(folder)
+    return sources.read_csv(spark, folder, FOR_HIRE)
 
 
 @query(FHV_INT)
@@ -84,6 +98,29 @@ def src_parquet_conformed(spark, sf_dir):
     return sources.read_conformed(spark, f"{sf_dir}/events.parquet", RIDE_DAYS)
 
 
+@query(
+    S.with_(S.TRIPS)
+    + """SELECT VendorID, pickup_datetime AS tpep_pickup_datetime, passenger_count, CAST(trip_distance AS DOUBLE) AS trip_distance,
+                CAST(payment_type AS BIGINT) AS payment_type
+         FROM trips"""
+)
+def src_parquet_imposed(spark, sf_dir):
+    """Months whose counts are whole numbers, of either width, under the feed's schema of doubles."""
+    folder = new_folder(spark, "drifting")
+    rows = B.trips(spark, sf_dir, "VendorID", "pickup_datetime", "passenger_count", "trip_distance").withColumns(
+        {"payment_type": 1 + F.col("VendorID") % 4}
+    )
+    rows = rows.withColumnRenamed("pickup_datetime", "tpep_pickup_datetime")
+    month = F.month("tpep_pickup_datetime") % 3
+    for number, (count, vendor) in enumerate([("double", "long"), ("int", "int"), ("long", "long")]):
+        part = rows.filter(F.coalesce(month, F.lit(0)) == number).withColumns(
+            {"passenger_count": F.col("passenger_count").cast(count), "VendorID": F.col("VendorID").cast(vendor)}
+        )
+        part.write.parquet(f"{folder}/{number}")
+    read = sources.read_feed(spark, f"{folder}/*", YELLOW_FEED)
+    return read.select("VendorID", "tpep_pickup_datetime", "passenger_count", "trip_distance", "payment_type")
+
+
 def _monthly_folders(spark, sf_dir, *columns) -> str:
     folder = new_folder(spark, "trips-by-month")
     rows = B.trips(spark, sf_dir, *columns).withColumns(
@@ -144,21 +181,53 @@ def src_name_pattern(spark, sf_dir):
     S.with_(S.TRADE)
     + """SELECT year, month, destination_country, origin_city, origin_state, section_cd, section_ds,
                 fob, net_weight, trade_bloc
-         FROM trade WHERE flow = 'exports'"""
+         FROM trade"""
 )
 def trade_json_flatten(spark, sf_dir):
-    names = [f"f{position:02d}" for position in range(len(TRADE_PAYLOAD))]
-    rows = B.trade(spark, sf_dir, *TRADE_PAYLOAD, flow=T.EXPORTS)
-    record = F.struct(*[F.col(c).cast("string").alias(n) for c, n in zip(TRADE_PAYLOAD, names)])
+    """Both flows, each month in documents of up to some hundred records."""
     folder = new_folder(spark, "trade-json")
-    documents = rows.select(
-        F.struct(F.array(record).alias("list")).alias("data"),
-        F.col("year").alias("of_year"),
-        F.col("month").alias("of_month"),
+    _trade_documents(spark, sf_dir).write.partitionBy("of_year", "of_month").json(folder)
+    return read_trade_payload(spark, f"{folder}/*/*", PAYLOAD_NAMES, keep_bloc=True)
+
+
+PAYLOAD_NAMES = [f"f{position:02d}" for position in range(len(TRADE_PAYLOAD))]
+RECORDS_PER_DOCUMENT = 200
+
+
+def _trade_documents(spark, sf_dir):
+    """data, of_year, of_month: a month's records, dealt to documents of about equal size."""
+    rows = B.trade(spark, sf_dir, *TRADE_PAYLOAD)
+    record = F.struct(*[F.col(c).cast("string").alias(n) for c, n in zip(TRADE_PAYLOAD, PAYLOAD_NAMES)])
+    months = [F.col("year").alias("of_year"), F.col("month").alias("of_month")]
+    per_month = reports.count_by(rows, "year", "month", name="records")
+    parts = F.ceil(F.col("records") / RECORDS_PER_DOCUMENT)
+    dealt = rows.join(per_month, ["year", "month"]).withColumn(
+        "part", F.pmod(F.xxhash64("section_cd", "fob", "net_weight", "origin_city"), parts)
     )
-    months = ["of_year", "of_month"]
-    files.spread_for(documents, months).write.partitionBy(*months).json(folder)
-    return read_trade_payload(spark, f"{folder}/*/*", names, keep_bloc=True)
+    documents = dealt.groupBy(*months, "part").agg(F.collect_list(record).alias("list"))
+    return documents.select(F.struct("list").alias("data"), "of_year", "of_month")
+
+
+@query(
+    S.with_(S.TRADE)
+    + """, months AS (SELECT year, month FROM trade GROUP BY 1, 2)
+         SELECT year, month, reason FROM months, (VALUES ('no data.list'), ('a record has none of the fields'),
+             ('not a document of one line; see multiline')) r(reason)"""
+)
+def payload_rejects(spark, sf_dir):
+    """For each month a text that was cut off, a document without a list and one with other names."""
+    months = B.trade(spark, sf_dir, "year", "month").distinct()
+    place = F.concat(F.col("year").cast("string"), F.lit("-"), F.col("month").cast("string"))
+    broken = (
+        '{"data": {"list": [{"f00": "%s"', '{"data": {"note": "%s"}}', '{"data": {"list": [{"other": "%s"}]}}',
+    )
+    texts = [F.format_string(text, place) for text in broken]
+    folder = new_folder(spark, "broken-json")
+    lines = months.select("year", "month", F.explode(F.array(*texts)).alias("value"))
+    lines.write.partitionBy("year", "month").text(folder)
+    rejects = read_payload_rejects(spark, f"{folder}/*/*", PAYLOAD_NAMES)
+    of = lambda key: F.regexp_extract("file", f"{key}=([0-9]+)", 1).cast("int").alias(key)
+    return rejects.select(of("year"), of("month"), "reason")
 
 
 # --- sinks ----------------------------------------------------------------------------------
@@ -182,6 +251,20 @@ def sink_overwrite(spark, sf_dir):
     return sources.read_parquet(spark, folder)
 
 
+@query(S.with_(S.TRIPS) + "SELECT true AS refused, count(*) AS trips FROM trips WHERE service_type = 'green'")
+def sink_refuse(spark, sf_dir):
+    """A second write to a folder that has rows is refused and leaves them as they are."""
+    folder, refused = new_folder(spark, "refuse"), False
+    rows = B.trips(spark, sf_dir, *_FEED)
+    files.write_parquet(rows.filter("service_type = 'green'"), folder)
+    try:
+        files.write_parquet(rows, folder)
+    except AnalysisException as error:
+        refused = error.getCondition() == "PATH_ALREADY_EXISTS"
+    stored = sources.read_parquet(spark, folder)
+    return stored.agg(F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("trips"))
+
+
 @query(_FEED_SQL)
 def sink_gzip(spark, sf_dir):
     return _written(spark, sf_dir, "gzip", compression="gzip")
@@ -223,17 +306,35 @@ def table_replace(spark, sf_dir):
 
 @query(_BY_MONTH_SQL.format(where=""))
 def table_append_idempotent(spark, sf_dir):
-    """All months are loaded, then those of one year again."""
+    """Two loads, the second of them twice."""
     name, path = new_table("load"), new_folder(spark, "load")
     rows = B.trips(spark, sf_dir, "pickup_datetime", "fare_amount")
-    tables.create_by_date(rows.limit(0), name, PICKUP_MONTH, path=path)
-    tables.load_dates(rows, name, PICKUP_MONTH)
-    loaded = tables.load_dates(rows.filter(M.in_year("pickup_datetime", 1997)), name, PICKUP_MONTH)
+    rows = rows.withColumn(PICKUP_MONTH.column, PICKUP_MONTH.of("pickup_datetime"))
+    tables.create_load_table(rows, name, [PICKUP_MONTH.column], path)
+    late = F.coalesce(F.col("pickup_datetime") >= F.lit("1997-01-01").cast("timestamp_ntz"), F.lit(True))
+    for load, part in (("early", ~late), ("late", late), ("late", late)):
+        loaded = tables.load_table(rows.filter(part), name, [PICKUP_MONTH.column], load)
     return _by_month(
         loaded.withColumns({"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")})
     )
 
 
+@query(_BY_MONTH_SQL.format(where=""))
+def load_with_strays(spark, sf_dir):
+    """Loads of a year each, with some rides of the years beside it; the first is run again, once with fewer rows."""
+    folder = new_folder(spark, "strays")
+    rows = B.trips(spark, sf_dir, "pickup_datetime", "fare_amount", "VendorID").withColumns(
+        {"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")}
+    )
+    # Every third vendor's rides of the first quarter come with the load of the year before.
+    stray = (F.col("VendorID") % 3 == 0) & (F.col("month") <= 3)
+    owner = F.coalesce(F.col("year") - stray.cast("int"), F.lit(0)) % 2
+    loads = {f"load {i}": rows.filter(owner == i).drop("VendorID") for i in (0, 1)}
+    for load, limit in (("load 0", 4), ("load 0", 12), ("load 1", 12), ("load 0", 12)):
+        files.write_load(loads[load].filter(F.coalesce("month", F.lit(0)) <= limit), folder, ["year", "month"], load)
+    return _by_month(sources.read_parquet(spark, folder))
+
+
 VENDOR_COLUMNS = (
     "VendorID", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
     "PULocationID", "DOLocationID", "fare_amount", "tip_amount", "total_amount",
@@ -247,18 +348,26 @@ def ctas_plain(spark, sf_dir):
     return tables.replace_table(rows, new_table("plain"), new_folder(spark, "plain"))
 
 
-def vendor_layouts(spark, rows, **options):
-    """The same rows as a plain table, one partitioned by month, and one also ordered by vendor."""
-    plain = tables.replace_table(rows, new_table("plain"), new_folder(spark, "plain"), **options)
+def layouts_of(spark, rows, key):
+    """The same rows as a plain table, one partitioned by month, and one also ordered by ``key``."""
+    plain = tables.replace_table(rows, new_table("plain"), new_folder(spark, "plain"))
 
     def by_month(label, cluster_by=()):
         name, path = new_table(label), new_folder(spark, label)
-        return tables.create_by_date(plain, name, PICKUP_MONTH, cluster_by, path, **options)
+        return tables.create_by_date(plain, name, PICKUP_MONTH, cluster_by, path)
 
-    partitioned, clustered = by_month("dated"), by_month("clustered", ["VendorID"])
+    partitioned, clustered = by_month("dated"), by_month("clustered", [key])
     return {"plain": plain, "partitioned": partitioned, "clustered": clustered}
 
 
+def vendor_layouts(spark, rows):
+    return layouts_of(spark, rows, "VendorID")
+
+
+def base_layouts(spark, rows):
+    return layouts_of(spark, rows, "dispatching_base_num")
+
+
 def select_days(layout, table, first, last):
     """Rows of whole days, by the partition column where the layout has one."""
     if layout == "plain":
@@ -319,7 +428,8 @@ def count_vendor_in_range(spark, sf_dir):
 
 def _clustered_fhv(spark, sf_dir):
     """For-hire trips without three columns, by pickup month and ordered by base."""
-    rows = B.fhv(spark, sf_dir).drop("PULocationID", "DOLocationID", "SR_Flag")
+    columns = ("dispatching_base_num", "pickup_datetime", "dropoff_datetime", "Affiliated_base_number")
+    rows = B.fhv(spark, sf_dir, *columns)
     return tables.create_by_date(
         rows, new_table("bases"), PICKUP_MONTH, ["dispatching_base_num"], new_folder(spark, "bases")
     )
@@ -369,6 +479,24 @@ def trade_partitioned(spark, sf_dir):
     )
 
 
+@query(
+    S.with_(S.TRADE)
+    + """, by_year AS (SELECT CAST(year AS VARCHAR) AS period, flow, fob FROM trade
+                       UNION ALL SELECT 'all', flow, fob FROM trade)
+         SELECT period, CAST(coalesce(sum(fob) FILTER (flow = 'exports'), 0) AS BIGINT) AS exports,
+                CAST(coalesce(sum(fob) FILTER (flow = 'imports'), 0) AS BIGINT) AS imports,
+                exports - imports AS balance
+         FROM by_year GROUP BY 1"""
+)
+def trade_both_flows(spark, sf_dir):
+    """Exports, imports and again exports loaded into one table; the balance of it."""
+    folder = new_folder(spark, "both-flows")
+    for flow in (T.EXPORTS, T.IMPORTS, T.EXPORTS):
+        rows = B.trade(spark, sf_dir, "year", "month", "fob", flow=flow).withColumn("flow", F.lit(flow))
+        files.write_load(T.with_trade_date(rows), folder, ["flow", "trade_date"], flow)
+    return T.trade_balance(sources.read_parquet(spark, folder))
+
+
 @query(
     S.with_(S.TRIPS)
     + """SELECT CAST(date_trunc('month', pickup_datetime) AS DATE) AS partition_id, count(*) AS total_rows

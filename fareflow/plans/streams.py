@@ -3,27 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareflow.functions.money import exact_sum
 from fareflow.plans import bindings as B
 from fareflow.plans import sql as S
 from fareflow.plans.registry import query
-from fareflow.schemas import fields
-from fareflow.session import new_folder
+from fareflow.schemas import ENVELOPE, YELLOW
+from fareflow.session import folders, new_folder, own_session, set_age
 from fareflow.sources.topics import read_file_stream, read_recorded_topic
 from fareflow.streaming import counts, messages, routing, runner
 
 # The state of a count is one number per vendor: a few parts hold it.
 STATE_PARTITIONS = 8
 
-# Columns of a recorded ride file, all read as text.
-RECORDED = fields("""
-    VendorID string, tpep_pickup_datetime string, tpep_dropoff_datetime string,
-    passenger_count string, trip_distance string, RatecodeID string, store_and_fwd_flag string,
-    PULocationID string, DOLocationID string, payment_type string, fare_amount string,
-    extra string, mta_tax string, tip_amount string, tolls_amount string,
-    improvement_surcharge string, total_amount string
-""")
+# A recorded ride file has the yellow columns up to the amount, all read as text.
+RECORDED = T.StructType([T.StructField(f.name, T.StringType()) for f in YELLOW][:17])
 
 
 def _events(spark, sf_dir):
@@ -38,6 +33,11 @@ def _run(spark, stream, label, partition_by=()):
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
+def _counting(spark):
+    """A session whose streams keep their state in few parts."""
+    return own_session(spark, spark__sql__shuffle__partitions=STATE_PARTITIONS)
+
+
 def _decoded(spark, sf_dir):
     return messages.decode(B.ride_messages(_events(spark, sf_dir), clean=False))
 
@@ -94,22 +94,22 @@ def stream_rejects(spark, sf_dir):
 def stream_branch_amount(spark, sf_dir):
     routed = routing.route_by_amount(_decoded(spark, sf_dir))
     stored = _run(spark, routed, "branch", partition_by=["topic"])
-    amount = F.from_json("value", messages.RIDE_MESSAGE)["total_amount"]
+    accepted = F.col("topic") != routing.AmountTopics().reject
+    amount = F.when(accepted, F.from_json("value", messages.RIDE_MESSAGE)["total_amount"])
     return stored.groupBy("topic", "key").agg(
         F.count(F.lit(1)).alias("rides"), exact_sum(amount).alias("amount")
     )
 
 
 _COUNTS = S.with_(S.RIDES) + "SELECT vendorId, count(*) AS rides FROM rides WHERE {} GROUP BY vendorId"
-_CHANGES = "vendorId int, rides bigint, batch_id int"
 
 
 @query(_COUNTS.format("ok"))
 def stream_vendor_counts(spark, sf_dir):
     folder = new_folder(spark, "counts")
-    stream = counts.vendor_counts(_decoded(spark, sf_dir))
-    runner.write_changes(stream, f"{folder}/out", f"{folder}/checkpoint", STATE_PARTITIONS)
-    return counts.latest_counts(spark.read.schema(_CHANGES).parquet(f"{folder}/out"))
+    stream = counts.vendor_counts(_decoded(_counting(spark), sf_dir))
+    runner.write_current(stream, f"{folder}/out", f"{folder}/checkpoint", ["vendorId"])
+    return runner.read_current(spark, f"{folder}/out", counts.VENDOR_COUNTS)
 
 
 @query(_COUNTS.format("true"))
@@ -121,11 +121,32 @@ def stream_restart(spark, sf_dir):
     for arrived in (topic.filter(odd), topic.filter(~odd), None):
         if arrived is not None:
             arrived.write.mode("append").parquet(f"{folder}/topic")
-        decoded = messages.decode(read_recorded_topic(spark, f"{folder}/topic"))
-        runner.write_changes(
-            counts.vendor_counts(decoded), f"{folder}/out", f"{folder}/checkpoint", STATE_PARTITIONS
+        decoded = messages.decode(read_recorded_topic(_counting(spark), f"{folder}/topic"))
+        runner.write_current(
+            counts.vendor_counts(decoded), f"{folder}/out", f"{folder}/checkpoint", ["vendorId"]
+        )
+    return runner.read_current(spark, f"{folder}/out", counts.VENDOR_COUNTS)
+
+
+@query(
+    S.with_(S.RIDES)
+    + f"""SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset" FROM rides"""
+)
+def stream_late_files(spark, sf_dir):
+    """A file that is a year older than those already read arrives after them, and is read."""
+    folder = new_folder(spark, "late")
+    topic = B.ride_messages(B.events(spark, sf_dir))
+    late = F.col("partition") == 2
+    for arrived in (topic.filter(~late), topic.filter(late)):
+        known = set(folders(spark, f"{folder}/topic/*.parquet"))
+        arrived.write.mode("append").parquet(f"{folder}/topic")
+        if known:
+            for path in set(folders(spark, f"{folder}/topic/*.parquet")) - known:
+                set_age(spark, path, days=365)
+        runner.append_to_files(
+            read_recorded_topic(spark, f"{folder}/topic"), f"{folder}/out", f"{folder}/checkpoint"
         )
-    return counts.latest_counts(spark.read.schema(_CHANGES).parquet(f"{folder}/out"))
+    return spark.read.schema(ENVELOPE).parquet(f"{folder}/out").select("partition", "offset")
 
 
 @query(

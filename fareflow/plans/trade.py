@@ -33,7 +33,8 @@ def _changes(*place: str) -> tuple[str, ...]:
     return (
         S.TRADE,
         "exported AS (SELECT * FROM trade WHERE flow = 'exports')",
-        f"grid AS (SELECT * FROM (SELECT DISTINCT {names} FROM exported) p, generate_series(1995, 2001) y(year))",
+        f"grid AS (SELECT * FROM (SELECT DISTINCT {names} FROM exported) p,"
+        " (SELECT unnest(generate_series(min(year), max(year))) AS year FROM exported) y)",
         f"""yearly AS (SELECT {names}, g.year, CAST(coalesce(sum(fob), 0) AS BIGINT) AS current_fob
             FROM grid g LEFT JOIN exported e USING ({names}, year) GROUP BY ALL)""",
         f"""changes AS (SELECT *, lag(current_fob) OVER (PARTITION BY {names} ORDER BY year) AS previous_fob
@@ -75,12 +76,12 @@ def export_change_by_state(spark, sf_dir):
     S.with_(*_changes("origin_state", "origin_city"))
     + """SELECT origin_state, origin_city, CAST(year AS INTEGER) AS year, previous_fob, current_fob,
                 current_fob - previous_fob AS change_fob
-         FROM changes WHERE year > 1995 AND previous_fob + current_fob > 0"""
+         FROM changes WHERE previous_fob + current_fob > 0"""
 )
 def export_changes_by_city_and_year(spark, sf_dir):
     place = ("origin_state", "origin_city")
     rows = B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS)
-    return T.yearly_changes(rows, place, 1995, 2001)
+    return T.yearly_changes(rows, place, *T.year_span(rows))
 
 
 @query(
@@ -110,8 +111,10 @@ def trade_balance(spark, sf_dir):
 
 @query(
     S.with_(S.TRADE)
-    + """, yearly AS (SELECT destination_country, year, sum(fob) AS fob FROM trade
-                      WHERE year BETWEEN 1995 AND 2000 GROUP BY 1, 2)
+    + """, yearly AS (SELECT destination_country, y.year, coalesce(sum(t.fob), 0) AS fob
+                      FROM (SELECT DISTINCT destination_country FROM trade WHERE year BETWEEN 1995 AND 2000) c
+                      CROSS JOIN generate_series(1995, 2000) y(year)
+                      LEFT JOIN trade t USING (destination_country, year) GROUP BY 1, 2)
          SELECT destination_country, 2001 AS year,
                 round(regr_intercept(CAST(fob AS DOUBLE), CAST(year - 1995 AS DOUBLE))
                       + 6 * regr_slope(CAST(fob AS DOUBLE), CAST(year - 1995 AS DOUBLE)), 2) AS forecast_fob

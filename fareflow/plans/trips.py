@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fareflow.functions import moments as M
+from fareflow.functions.money import exact_avg, exact_sum
 from fareflow.operators import cleaning, feeds, reports, revenue
 from fareflow.operators import zones as Z
 from fareflow.plans import bindings as B
@@ -229,11 +230,32 @@ def monthly_revenue(spark, sf_dir):
     return revenue.monthly_revenue(both_feeds(spark, sf_dir, *columns), sums=B.TRIP_SUMS)
 
 
+@query(
+    S.with_(S.TRIPS)
+    + """, fine AS (
+             SELECT CAST(PULocationID AS BIGINT) AS zone, service_type,
+                    CAST(fare_amount AS DECIMAL(18,2)) * (1 - CAST(extra AS DECIMAL(4,2))) AS net,
+                    trip_distance / 8 AS parts FROM trips)
+         SELECT zone, service_type, CAST(sum(net) AS DOUBLE) AS net, round(CAST(sum(net) AS DOUBLE) / count(net), 6) AS average,
+                round(sum(parts), 6) AS parts, round(sum(parts) / count(parts), 6) AS average_parts
+         FROM fine GROUP BY 1, 2"""
+)
+def revenue_fine_amounts(spark, sf_dir):
+    """Amounts of four decimals and distances of three."""
+    trips = both_feeds(spark, sf_dir, "PULocationID", "fare_amount", "extra", "trip_distance")
+    net = F.col("fare_amount") * (1 - F.col("extra"))
+    parts = F.col("trip_distance") / 8
+    return trips.groupBy(F.col("PULocationID").alias("zone"), "service_type").agg(
+        F.round(exact_sum(net), 4).alias("net"), F.round(exact_avg(net), 6).alias("average"),
+        F.round(exact_sum(parts), 6).alias("parts"), F.round(exact_avg(parts), 6).alias("average_parts"),
+    )
+
+
 SINCE = "2024-01-10"
 
 
-def _hourly(spark, sf_dir, event_type):
-    return revenue.hourly_revenue(B.hourly_feed(spark, sf_dir, event_type), "pickup_datetime", SINCE)
+def _hourly(spark, sf_dir, service):
+    return revenue.hourly_revenue(B.hourly_feed(spark, sf_dir, service), "pickup_datetime", SINCE)
 
 
 @query(
@@ -241,14 +263,12 @@ def _hourly(spark, sf_dir, event_type):
     + """SELECT "hour", zone, amount, number_records FROM hourly WHERE service_type = 'green'"""
 )
 def hourly_revenue(spark, sf_dir):
-    return _hourly(spark, sf_dir, "purchase")
+    return _hourly(spark, sf_dir, "green")
 
 
 @query(S.with_(S.HOURLY, S.GREEN_YELLOW) + "SELECT * FROM both_feeds")
 def revenue_green_yellow(spark, sf_dir):
-    return revenue.combine_feeds(
-        _hourly(spark, sf_dir, "purchase"), _hourly(spark, sf_dir, "click")
-    )
+    return revenue.combine_feeds(_hourly(spark, sf_dir, "green"), _hourly(spark, sf_dir, "yellow"))
 
 
 @query(

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+# Feed times are wall-clock times without a zone.
+TIMESTAMP = T.TimestampNTZType()
 _TYPES = {
     "long": T.LongType(),
     "int": T.IntegerType(),
@@ -13,8 +15,7 @@ _TYPES = {
     "float": T.FloatType(),
     "string": T.StringType(),
     "date": T.DateType(),
-    # Feed times are wall-clock times without a zone.
-    "timestamp": T.TimestampNTZType(),
+    "timestamp": TIMESTAMP,
 }
 
 
@@ -113,3 +114,4 @@ class FeedSpec:
 GREEN_FEED = FeedSpec("green", "lpep_pickup_datetime", "lpep_dropoff_datetime", GREEN)
 YELLOW_FEED = FeedSpec("yellow", "tpep_pickup_datetime", "tpep_dropoff_datetime", YELLOW)
 FOR_HIRE_FEED = FeedSpec("fhv", "pickup_datetime", "dropoff_datetime", FOR_HIRE)
+HIGH_VOLUME_FEED = FeedSpec("hvfhv", "pickup_datetime", "dropoff_datetime", HIGH_VOLUME)

@@ -3,8 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from fareflow.session import folders, remove_folder
+
+# Fixed value: the folder of rows without a partition value.
+EMPTY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_parquet(
@@ -47,26 +54,42 @@ def spread_for(df: DataFrame, by: Sequence[str], sort_by: Sequence[str] = ()) ->
     return rows.sortWithinPartitions(*by, *sort_by) if sort_by else rows
 
 
-def write_partitioned(
-    df: DataFrame,
-    path: str,
-    by: Sequence[str],
-    sort_by: Sequence[str] = (),
-    replace: str = "touched",
-) -> None:
-    """One folder per value of ``by``, in a single job.
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
+    """One folder per value of ``by``, in a single job. What the path held before is replaced."""
+    spread_for(df, by, sort_by).write.mode("overwrite").partitionBy(*by).parquet(path)
+
+
+#: The partition column that says which load wrote a row.
+LOAD = "load"
+
+
+def write_load(df: DataFrame, path: str, by: Sequence[str], load: str, sort_by: Sequence[str] = ()) -> None:
+    """The rows of one load, in a folder per value of ``by`` and below it one of the load.
 
-    ``replace`` is ``touched`` (only folders that get rows are replaced: running the same load
-    again changes nothing) or ``all``.
+    A load replaces what it wrote itself, and nothing else: rows that fall on another load's dates
+    stand beside that load's, and running a load again, corrected or not, leaves each of its
+    rows once. The write replaces folders when it commits; a load cut short left the path as it was,
+    but for folders that a corrected load no longer has, which go after the commit.
     """
-    overwrite = {"touched": "dynamic", "all": "static"}[replace]
+    spark = df.sparkSession
+    pattern = "/".join([path, *["*"] * len(by), f"{LOAD}={quote(load, safe=' ')}"])
+    before = folders(spark, pattern)
     (
         spread_for(df, by, sort_by)
+        .withColumn(LOAD, F.lit(load))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy(*by)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by, LOAD)
         .parquet(path)
     )
+    if before:
+        # One row per folder of the load.
+        rows = df.select(*[F.col(c).cast("string") for c in by]).distinct().collect()
+        values = {tuple(EMPTY if v in (None, "") else v for v in row) for row in rows}
+        for folder in before:
+            parts = folder.split("/")[-1 - len(by) : -1]
+            if tuple(unquote(part.partition("=")[2]) for part in parts) not in values:
+                remove_folder(spark, folder)
 
 
 def write_jdbc(

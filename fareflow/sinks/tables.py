@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions.moments import days_between, month_date
-from fareflow.session import setting
-from fareflow.sinks.files import spread_for
+from fareflow.sinks.files import LOAD, spread_for, write_load
+
+
+_BUCKET = "_bucket"
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,7 @@ def replace_table(df: DataFrame, name: str, path: str | None = None, **options)
 
 
 def append_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Adds rows to a table. Running the same load twice adds them twice; see :func:`load_dates`."""
+    """Adds rows to a table. Running the same load twice adds them twice; see :func:`load_table`."""
     _writer(df, path, "append").saveAsTable(name)
     return df.sparkSession.table(name)
 
@@ -70,16 +72,24 @@ def create_by_date(
     return df.sparkSession.table(name)
 
 
-def load_dates(df: DataFrame, name: str, layout: DateLayout) -> DataFrame:
-    """Loads rows into a table of :func:`create_by_date`, replacing the dates they fall on.
+def create_load_table(df: DataFrame, name: str, by: Sequence[str], path: str) -> DataFrame:
+    """An empty table with the columns of ``df``, partitioned by ``by`` and by load."""
+    empty = df.limit(0).withColumn(LOAD, F.lit("").cast("string"))
+    _writer(empty, path, "errorifexists").partitionBy(*by, LOAD).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def load_table(df: DataFrame, name: str, by: Sequence[str], load: str) -> DataFrame:
+    """Loads rows into a table of :func:`create_load_table`, replacing what the same load wrote before.
 
-    A load run again leaves the table as it was.
+    Rows of other loads stay, on whatever dates they fall; see :func:`write_load`. Columns go by name.
     """
     spark = df.sparkSession
-    dated = df.withColumn(layout.column, layout.of(layout.ts)).select(*spark.table(name).columns)
-    # A table insert takes the overwrite mode from the session, not from a writer option.
-    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        spread_for(dated, [layout.column]).write.insertInto(name, overwrite=True)
+    described = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()
+    rows = df.select(*[c for c in spark.table(name).columns if c != LOAD])
+    write_load(rows, described["data_type"], by, load)
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
@@ -96,10 +106,13 @@ def create_bucketed(
 ) -> DataFrame:
     """Creates or replaces a table hashed and sorted by a join key: joins on it need no shuffle.
 
-    All rows of one key share a bucket; for a key that holds much of the table use
-    :func:`create_by_date` and leave the join to adaptive execution.
+    A writing task makes a file for each bucket it meets, so rows are brought together by bucket; a
+    bucket that holds more than its share, as one with a hot key does, is split between tasks and has
+    several files. Readers of a hot bucket still read it in one task; leave joins on a key that holds
+    much of the table to adaptive execution.
     """
-    rows = df.repartition(buckets, key)
+    bucket = F.pmod(F.hash(key), F.lit(buckets))
+    rows = df.withColumn(_BUCKET, bucket).hint("rebalance", _BUCKET).drop(_BUCKET)
     _writer(rows, path, "overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     return df.sparkSession.table(name)
 

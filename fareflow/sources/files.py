@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareflow.operators.cleaning import conform
 from fareflow.schemas import FeedSpec
 
 
+FOOTER_THREADS = 16
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -19,13 +24,23 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header; without a schema every column is a string.
 
+    A schema's columns are found by their names in the header, wherever they stand; other columns
+    are left out, a missing one is an error, and so is a file whose header differs from the first's.
+
     A gzip file is one task however large it is. ``parallelism`` spreads its rows over that many
     partitions, for work that is heavier than the decompression.
     """
     reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    rows = reader.csv(paths)
+    if schema is None:
+        rows = reader.csv(paths)
+    else:
+        header = reader.csv(paths).columns
+        if missing := [name for name in schema.fieldNames() if name not in header]:
+            raise ValueError(f"{paths} has no column {', '.join(missing)}: {header}")
+        types = {field.name: field for field in schema}
+        by_name = T.StructType([types.get(name, T.StructField(name, T.StringType())) for name in header])
+        # Unlike the default, a header that does not agree is an error.
+        rows = reader.option("enforceSchema", False).schema(by_name).csv(paths).select(*schema.fieldNames())
     return rows.repartition(parallelism) if parallelism else rows
 
 
@@ -48,8 +63,36 @@ def read_parquet(
 
 
 def read_feed(spark: SparkSession, paths: str | Sequence[str], feed: FeedSpec) -> DataFrame:
-    """A trip feed's files of any months under the feed's schema."""
-    return read_parquet(spark, paths, feed.schema)
+    """A trip feed's files of any months under the feed's schema.
+
+    Months differ in the types of some columns (a count may be a whole number in one and a double in
+    the next), which no imposed schema can read. Files are therefore grouped by their own schema, each
+    group is read and cast, and the groups are united. Footers are read once per file, by threads
+    of the driver; a group is one scan. A value that does not fit its type is an error.
+    """
+    return unite_groups(spark, schema_groups(spark, paths), feed.schema)
+
+
+def schema_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[list[str]]:
+    """The Parquet files behind some paths, in groups of equal schema."""
+    listed = read_parquet(spark, paths, T.StructType([])).inputFiles()
+    with ThreadPoolExecutor(FOOTER_THREADS) as threads:
+        schemas = list(threads.map(lambda path: spark.read.parquet(path).schema, listed))
+    groups: dict[str, list[str]] = {}
+    for path, schema in zip(listed, schemas):
+        groups.setdefault(schema.json(), []).append(path)
+    return list(groups.values())
+
+
+def unite_groups(spark: SparkSession, groups: Iterable[Sequence[str]], schema: T.StructType) -> DataFrame:
+    """Groups of files of one schema each, cast to ``schema``; a column a group lacks is null."""
+    rows = spark.createDataFrame([], schema)
+    for group in groups:
+        found = spark.read.parquet(*group)
+        lacking = [field for field in schema if field.name.lower() not in map(str.lower, found.columns)]
+        found = found.withColumns({field.name: F.lit(None).cast(field.dataType) for field in lacking})
+        rows = rows.unionAll(conform(found, schema, strict=True))
+    return rows
 
 
 def read_conformed(

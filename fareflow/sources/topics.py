@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from fareflow.schemas import ENVELOPE
 
+#: A file age that none reaches.
+NEVER = "36500d"
 ENVELOPE_COLUMNS = tuple(ENVELOPE.fieldNames())
 
 
@@ -34,12 +36,19 @@ def read_file_stream(
     kind: str = "parquet",
     pattern: str | None = None,
     files_per_batch: int = 1000,
+    max_file_age: str = NEVER,
     **options,
 ) -> DataFrame:
-    """New files of a folder as a stream, oldest first."""
+    """New files of a folder as a stream, oldest first.
+
+    Spark leaves out files that are older than the newest one by more than ``max_file_age``, and
+    forgets which files it has read after that time. By default it never does either, so a late file is
+    read; what a stream remembers then grows by a line per file, which Spark compacts.
+    """
     reader = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", max_file_age)
         .options(**options)
     )
     if pattern:

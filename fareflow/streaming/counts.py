@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareflow.schemas import fields
+
 
 def vendor_counts(decoded: DataFrame) -> DataFrame:
     """Rides per vendor so far. State holds one number per vendor.
@@ -19,6 +21,5 @@ def vendor_counts(decoded: DataFrame) -> DataFrame:
     )
 
 
-def latest_counts(changes: DataFrame) -> DataFrame:
-    """The current count of each vendor from the changes written so far; counts only grow."""
-    return changes.groupBy("vendorId").agg(F.max("rides").alias("rides"))
+#: The rows of :func:`vendor_counts`.
+VENDOR_COUNTS = fields("vendorId int, rides long")

@@ -50,13 +50,19 @@ def decode(
     """Adds the parsed ``record`` and whether it is ``valid``.
 
     Text that is not JSON, a field of the wrong type and a field that is absent all parse to
-    null, so a record is valid when every required field (by default all) is there. The raw
-    value stays beside it. The parse sits in a one-element explode, which the optimizer does not
-    copy into every later use of a field: each message is parsed once.
+    null, so a record is valid when every required field (by default all) is there. NaN and infinity
+    are no JSON numbers, and text after the document makes it invalid: the value is parsed as the only
+    element of a list inside a document, which is read to its end. The raw value stays beside it. The parse sits in a
+    one-element explode, which the optimizer does not copy into every later use of a field: each
+    message is parsed once.
     """
-    parsed = messages.select(
-        "*", F.explode(F.array(F.from_json("value", schema))).alias("record")
+    whole = F.concat(F.lit('{"record":['), F.col("value"), F.lit('],"end":true}'))
+    shape = T.StructType().add("record", T.ArrayType(schema)).add("end", "boolean")
+    parsed = F.from_json(whole, shape, {"allowNonNumericNumbers": "false"})
+    only = F.transform(
+        F.array(parsed), lambda x: F.when(x["end"] & (F.size(x["record"]) == 1), F.get(x["record"], F.lit(0)))
     )
+    parsed = messages.select("*", F.explode(only).alias("record"))
     names = schema.fieldNames() if required is None else required
     valid = F.lit(True)
     for name in names:

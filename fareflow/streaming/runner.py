@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fareflow.session import setting
-
-_PARTITIONS = "spark.sql.shuffle.partitions"
+from fareflow.session import folders, remove_folder
 
 
 def append_to_files(
@@ -42,24 +42,61 @@ def append_to_broker(stream: DataFrame, servers: str, checkpoint: str, **options
     )
 
 
-def write_changes(
-    stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None
-) -> None:
+def write_changes(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Each batch's changed rows of a running aggregate, in a folder per batch.
 
-    A repeated batch replaces its folder. ``state_partitions`` is how many parts the state is kept
-    in; the first run on a checkpoint fixes it.
+    A repeated batch replaces its folder. The state is kept in as many parts as the stream's session has
+    shuffle partitions; the first run on a checkpoint fixes it.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    spark = stream.sparkSession
-    with setting(spark, _PARTITIONS, state_partitions or spark.conf.get(_PARTITIONS)):
-        query = (
-            stream.writeStream.outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .foreachBatch(write)
-            .start()
-        )
+    _until_used_up(stream, checkpoint, write)
+
+
+def _until_used_up(stream: DataFrame, checkpoint: str, write) -> None:
+    query = (
+        stream.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+        .start()
+    )
     query.awaitTermination()
+
+
+def write_current(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> None:
+    """The current rows of a running aggregate whose numbers only grow, as one snapshot folder.
+
+    Each batch merges its changes into the snapshot before it and writes the next; the one before
+    stays until then, so a batch that is repeated starts from the same rows. Older ones go.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = [i for i in _snapshots(spark, path) if i < batch_id]
+        rows = batch
+        if before:
+            rows = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/{_SNAPSHOT}{before[-1]}"))
+        numbers = [F.max(c).alias(c) for c in batch.columns if c not in keys]
+        rows.groupBy(*keys).agg(*numbers).write.mode("overwrite").parquet(f"{path}/{_SNAPSHOT}{batch_id}")
+        for old in before[:-1]:
+            remove_folder(spark, f"{path}/{_SNAPSHOT}{old}")
+
+    _until_used_up(stream, checkpoint, write)
+
+
+_SNAPSHOT = "snapshot-"
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[int]:
+    """The batches whose snapshots are complete, in order."""
+    done = folders(spark, f"{path}/{_SNAPSHOT}*/_SUCCESS")
+    return sorted(int(file.split("/")[-2].removeprefix(_SNAPSHOT)) for file in done)
+
+
+def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The last snapshot of :func:`write_current`; no rows before the first."""
+    found = _snapshots(spark, path)
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{_SNAPSHOT}{found[-1]}")

@@ -1,11 +1,12 @@
 import os
 import sys
+from contextlib import contextmanager
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from fareflow.session import build_session  # noqa: E402
+from fareflow.session import build_session, workspace  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -25,6 +26,24 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@contextmanager
+def setting(spark, key, value):
+    """A session setting that holds for the block only."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+@pytest.fixture(autouse=True)
+def tidy(spark):
+    """What a test's queries write is removed after it."""
+    with workspace(spark):
+        yield
+
+
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path / "out")

@@ -59,7 +59,8 @@ class FakeSession:
         self.sparkContext = type("Context", (), {"master": master})
 
 
-def test_working_folder_is_the_one_the_cluster_names():
+def test_working_folder_is_the_one_the_cluster_names(monkeypatch):
+    monkeypatch.setattr(session, "_open", [])
     named = FakeSession("yarn", **{"spark.checkpoint.dir": "hdfs://store/shared/"})
     assert session.shared_folder(named) == "hdfs://store/shared"
     first, second = session.new_folder(named, "x"), session.new_folder(named, "x")
@@ -81,10 +82,43 @@ def test_shuffles_are_cut_to_task_memory():
     assert session.shuffle_partitions(40 * 10**12) == 298_024
 
 
-def test_setting_is_restored(spark):
+def test_a_session_of_its_own_shares_tables_and_not_settings(spark):
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
-    with pytest.raises(ValueError), session.setting(spark, key, "7"):
-        assert spark.conf.get(key) == "7"
-        raise ValueError
-    assert spark.conf.get(key) == before
+    own = session.own_session(spark, spark__sql__autoBroadcastJoinThreshold=7)
+    assert (own.conf.get(key), spark.conf.get(key)) == ("7", before)
+
+
+def test_a_workspace_leaves_nothing(spark, tmp_path):
+    """Of queries that write folders, tables and views, nothing is there after the block."""
+    from fareflow.plans import QUERIES
+
+    def there():
+        names = {t.name for t in spark.catalog.listTables()}
+        return names, set(session.folders(spark, f"{session.shared_folder(spark)}/fareflow/*"))
+
+    before = there()
+    with session.workspace(spark):
+        for name in ("external_table_scan", "table_append_idempotent", "ctas_plain", "stream_restart"):
+            QUERIES[name].run(spark, SMALL).collect()
+        during = there()
+        assert len(during[0]) > len(before[0]) and len(during[1]) > len(before[1])
+    assert there() == before
+
+
+def test_an_orphan_line_counts_everywhere(spark, tmp_path):
+    """An order line without its order, supplier or part is a ride in every query that counts rides."""
+    from fareflow.plans import bindings as B
+
+    for name in ("orders", "customer", "supplier", "part", "nation", "region", "lineitem"):
+        df = spark.read.parquet(f"{SMALL}/{name}.parquet")
+        if name == "lineitem":
+            df = df.unionAll(df.limit(1).withColumns(
+                {c: F.lit(10**9).cast(df.schema[c].dataType) for c in ("l_orderkey", "l_suppkey", "l_partkey")}
+            ))
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = spark.read.parquet(f"{tmp_path}/lineitem.parquet").count()
+    columns = ("VendorID", "pickup_datetime", "PULocationID", "DOLocationID", "total_amount")
+    for chosen in (columns[:1], columns[:2], columns[:3], columns, ("DOLocationID",)):
+        assert B.trips(spark, str(tmp_path), *chosen).count() == lines
+    assert B.fhv(spark, str(tmp_path)).count() == lines

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from fareflow.functions import moments as M
 from fareflow.functions import money
-from fareflow.session import setting
-from tests.conftest import plan
+from tests.conftest import plan, setting
 
 SPAN = "start timestamp_ntz, end timestamp_ntz"
 
@@ -100,3 +99,19 @@ def test_sums_are_exact_and_skip_missing_amounts(spark):
 def test_sum_of_nothing_is_missing(spark):
     empty = spark.createDataFrame([(None,)], "amount double")
     assert tuple(empty.agg(money.exact_sum("amount"), money.exact_avg("amount")).first()) == (None, None)
+
+
+def test_finer_values_lose_nothing(spark):
+    values = [0.004, 0.004, 1.234, 2.5e-7, -3.3333333]
+    df = spark.createDataFrame([(v,) for v in values], "amount double").repartition(3)
+    total, average = df.agg(money.exact_sum("amount"), money.exact_avg("amount")).first()
+    assert total == pytest.approx(sum(values), abs=1e-14)
+    assert average == pytest.approx(sum(values) / 5, abs=1e-14)
+
+
+def test_infinite_and_missing_values(spark):
+    inf, nan = float("inf"), float("nan")
+    for values, want, missing in (([1.0, inf], inf, 0), ([-inf, nan, 2.0], -inf, 1), ([inf, inf, None], inf, 1)):
+        df = spark.createDataFrame([(v,) for v in values], "amount double")
+        got = df.agg(money.exact_sum("amount"), money.exact_avg("amount"), money.unknown_count("amount")).first()
+        assert tuple(got) == (want, want, missing)

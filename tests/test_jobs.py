@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow import jobs, schemas
+from fareflow.streaming import counts, runner
 from tests.conftest import rows
 from tests.test_streams import envelope, ride
 
@@ -77,17 +78,75 @@ def test_zone_revenue(spark, lake, folder):
 def test_monthly_layout_can_be_run_again(spark, lake, folder):
     root, data = lake
     for _ in range(2):
-        jobs.monthly_layout(spark, "yellow", raw(root, "yellow"), folder)
+        jobs.monthly_layout(spark, "yellow", raw(root, "yellow"), folder, "2020-q1")
     out = spark.read.parquet(folder)
     assert out.count() == 300
     assert rows(out.groupBy("year", "month").count()) == [(2020, 1, 100), (2020, 2, 100), (2020, 3, 100)]
 
 
+def test_layout_of_overlapping_loads(spark, tmp_path):
+    """January's file, then February's with one ride of 31 January, the second twice."""
+    feed, out = schemas.YELLOW_FEED, str(tmp_path / "out")
+    names = feed.schema.fieldNames()
+
+    def file(name, *days):
+        data = []
+        for day in days:
+            row = dict.fromkeys(names)
+            row[feed.pickup] = day
+            data.append(tuple(row.values()))
+        spark.createDataFrame(data, feed.schema).write.parquet(str(tmp_path / name))
+
+    file("01", *[datetime(2020, 1, d) for d in range(1, 21)])
+    file("02", *[datetime(2020, 2, d) for d in range(1, 11)], datetime(2020, 1, 31, 23, 59))
+    for name in ("01", "02", "02"):
+        jobs.monthly_layout(spark, "yellow", str(tmp_path / name), out, f"2020-{name}")
+    assert rows(spark.read.parquet(out).groupBy("year", "month").count()) == [(2020, 1, 21), (2020, 2, 10)]
+
+
+@pytest.mark.parametrize("service", ["yellow", "hvfhv", "fhv"])
+def test_csv_to_clean_files_to_layout(spark, tmp_path, service):
+    feed = jobs.ALL_FEEDS[service]
+    row = dict.fromkeys(feed.schema.fieldNames())
+    row.update({feed.pickup: "2020-02-03 04:05:06", "PULocationID": "7"})
+    names = list(row)[::-1]
+    (tmp_path / "in.csv").write_text(",".join(names) + "\n" + ",".join(str(row[n] or "") for n in names) + "\n")
+    clean, out = str(tmp_path / "clean"), str(tmp_path / "out")
+    jobs.main(["clean-csv", "--feed", service, "--input", str(tmp_path / "in.csv"), "--output", clean])
+    assert spark.read.parquet(clean).schema.fieldNames() == feed.schema.fieldNames()
+    jobs.main(["monthly-layout", "--feed", service, "--input", clean, "--output", out, "--load", "a"])
+    (got,) = spark.read.parquet(out).collect()
+    assert (got["year"], got["month"], got["PULocationID"], got[feed.pickup]) == (2020, 2, 7, datetime(2020, 2, 3, 4, 5, 6))
+
+
+def test_load_table_fills_missing_counts(spark, lake, folder):
+    root, data = lake
+    for _ in range(2):
+        jobs.load_table(spark, "green", raw(root, "green"), folder, "2020")
+    out = spark.read.parquet(folder)
+    assert out.count() == 200 and out.filter("passenger_count is null").count() == 0
+
+
+def test_both_flows_in_one_table(spark, tmp_path):
+    names = "abcdefghij"
+    out, report = str(tmp_path / "out"), str(tmp_path / "report")
+    for flow, fob in (("exports", 10), ("imports", 4), ("exports", 10)):
+        values = ["1997", "2", "Chile", "South", "Santos", "SP", "01", "Animals", str(fob), "3"]
+        text = json.dumps({"data": {"list": [dict(zip(names, values))]}}, indent=2)
+        (tmp_path / f"{flow}.json").write_text(text)
+        jobs.main(["load-trade", "--input", str(tmp_path / f"{flow}.json"), "--fields", ",".join(names), "--flow", flow,
+                   "--output", out, "--load", flow, "--multiline"])
+    jobs.main(["trade-balance", "--input", out, "--output", report])
+    assert rows(spark.read.parquet(report)) == [("1997", 10, 4, 6), ("all", 10, 4, 6)]
+    with pytest.raises(Exception, match="multiline"):
+        jobs.load_trade(spark, str(tmp_path / "exports.json"), ",".join(names), "exports", out, "x")
+
+
 def test_load_trade(spark, tmp_path):
     record = dict(zip("abcdefghij", ["1997", "2", "Chile", "South", "Santos", "SP", "01", "Animals", "10", "3"]))
     (tmp_path / "in.json").write_text(json.dumps({"data": {"list": [record, {**record, "b": "3"}]}}))
     out = str(tmp_path / "out")
-    jobs.load_trade(spark, str(tmp_path / "in.json"), "a,b,c,d,e,f,g,h,i,j", out)
+    jobs.load_trade(spark, str(tmp_path / "in.json"), "a,b,c,d,e,f,g,h,i,j", "exports", out, "1997")
     assert sorted(str(r.trade_date) for r in spark.read.parquet(out).collect()) == ["1997-02-01", "1997-03-01"]
 
 
@@ -98,4 +157,4 @@ def test_ride_jobs(spark, tmp_path):
         run = {"route": jobs.route_rides, "count": jobs.count_vendors}[job]
         run(spark, topic, str(tmp_path / f"{job}-checkpoint"), str(tmp_path / job))
     assert spark.read.parquet(str(tmp_path / "route")).groupBy("topic").count().count() == 3
-    assert rows(spark.read.parquet(str(tmp_path / "count")).select("vendorId", "rides")) == [(1, 2), (2, 1)]
+    assert rows(runner.read_current(spark, str(tmp_path / "count"), counts.VENDOR_COUNTS)) == [(1, 2), (2, 1)]

@@ -7,7 +7,7 @@ import os
 import pytest
 
 from fareflow.schemas import COUNTER, ENVELOPE
-from fareflow.session import new_folder
+from fareflow.session import folders, new_folder, own_session, set_age
 from fareflow.sources.topics import read_recorded_topic
 from fareflow.streaming import counts, messages, routing, runner
 from tests.conftest import plan, rows
@@ -27,6 +27,8 @@ def envelope(spark, values, topic="rides"):
 VALUES = [
     ride(1, 40.0), ride(1, 39.99), ride(2, 400.0), ride(3, 0.0),
     "not json", "", None, ride(1, ...), ride(1, "much"), ride("x"), ride(1, None), "[1, 2]",
+    ride(1) + " trailing", ride(1) + ride(2), ride(1) + "," + ride(2), ride(1, float("nan")), ride(1, float("inf")),
+    ride(1) + "]", "{}",
 ]
 GOOD = 4
 
@@ -79,13 +81,17 @@ def base(spark):
 
 
 def run_counts(spark, base):
-    decoded = messages.decode(read_recorded_topic(spark, f"{base}/topic", files_per_batch=1))
-    runner.write_changes(counts.vendor_counts(decoded), f"{base}/out", f"{base}/checkpoint", 2)
-    changes = spark.read.schema("vendorId int, rides bigint, batch_id int").parquet(f"{base}/out")
-    return changes, rows(counts.latest_counts(changes))
+    few = own_session(spark, spark__sql__shuffle__partitions=2)
+    decoded = messages.decode(read_recorded_topic(few, f"{base}/topic", files_per_batch=1))
+    counted = counts.vendor_counts(decoded)
+    runner.write_changes(counted, f"{base}/changes", f"{base}/checkpoint-changes")
+    runner.write_current(counted, f"{base}/out", f"{base}/checkpoint", ["vendorId"])
+    changes = spark.read.schema("vendorId int, rides bigint, batch_id int").parquet(f"{base}/changes")
+    return changes, rows(runner.read_current(spark, f"{base}/out", counts.VENDOR_COUNTS))
 
 
 def test_counts_over_batches_and_restarts(spark, base):
+    assert rows(runner.read_current(spark, f"{base}/out", counts.VENDOR_COUNTS)) == []
     add_messages(spark, f"{base}/topic", [ride(1), ride(1), ride(2)])
     add_messages(spark, f"{base}/topic", [ride(1), "bad"])
     changes, got = run_counts(spark, base)
@@ -96,6 +102,10 @@ def test_counts_over_batches_and_restarts(spark, base):
     assert run_counts(spark, base)[1] == got, "nothing new"
     add_messages(spark, f"{base}/topic", [ride(2), ride(3)])
     assert run_counts(spark, base)[1] == [(1, 3), (2, 2), (3, 1)]
+    for _ in range(3):
+        add_messages(spark, f"{base}/topic", [ride(3)])
+    assert run_counts(spark, base)[1] == [(1, 3), (2, 2), (3, 4)]
+    assert len(glob.glob(f"{base}/out/snapshot-*")) == 2, "the current snapshot and the one before"
 
 
 def test_a_repeated_batch_replaces_its_first_attempt(spark, base):
@@ -103,13 +113,24 @@ def test_a_repeated_batch_replaces_its_first_attempt(spark, base):
     add_messages(spark, f"{base}/topic", [ride(1)])
     run_counts(spark, base)
     # As if the run had died after writing batch 1 and before committing it.
-    for file in glob.glob(f"{base}/checkpoint/commits/1") + glob.glob(f"{base}/checkpoint/commits/.1.crc"):
-        os.remove(file)
+    for kind in ("checkpoint", "checkpoint-changes"):
+        for file in glob.glob(f"{base}/{kind}/commits/1") + glob.glob(f"{base}/{kind}/commits/.1.crc"):
+            os.remove(file)
     changes, got = run_counts(spark, base)
     assert got == [(1, 2), (2, 1)]
     assert changes.filter("batch_id = 1").count() == 1
 
 
+def test_a_late_file_is_read(spark, base):
+    add_messages(spark, f"{base}/topic", [ride(1)])
+    assert run_counts(spark, base)[1] == [(1, 1)]
+    before = set(folders(spark, f"{base}/topic/*.parquet"))
+    add_messages(spark, f"{base}/topic", [ride(2)])
+    for path in set(folders(spark, f"{base}/topic/*.parquet")) - before:
+        set_age(spark, path, days=30)
+    assert run_counts(spark, base)[1] == [(1, 1), (2, 1)]
+
+
 def test_routed_files_are_written_once(spark, base):
     values = VALUES * 3
     add_messages(spark, f"{base}/topic", values)

@@ -8,11 +8,11 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from fareflow.schemas import fields
-from fareflow.session import new_folder, new_table, setting
+from fareflow.schemas import FeedSpec, fields
+from fareflow.session import new_folder, new_table
 from fareflow.sinks import files, tables
 from fareflow.sources import files as sources
-from tests.conftest import plan, rows
+from tests.conftest import plan, rows, setting
 
 MONTHLY = tables.DateLayout("pickup_datetime", "month")
 DAILY = tables.DateLayout("pickup_datetime", "day")
@@ -49,13 +49,24 @@ def test_gzip_files(spark, folder):
     assert glob.glob(f"{folder}/*.gz.parquet")
 
 
-def test_writing_a_month_again_replaces_that_month_only(spark, folder):
+def test_a_load_replaces_what_it_wrote_and_nothing_else(spark, folder):
+    """The February file holds a ride of 31 January: January stays whole, and re-runs change nothing."""
     rows_ = trips(spark).withColumn("month", F.month("pickup_datetime"))
-    files.write_partitioned(rows_, folder, ["month"])
-    files.write_partitioned(rows_.filter("month = 2").limit(5), folder, ["month"])
-    assert spark.read.parquet(folder).filter("month = 2").count() == 5
-    assert spark.read.parquet(folder).filter("month <> 2").count() == rows_.filter("month <> 2").count()
-    files.write_partitioned(rows_.filter("month = 3"), folder, ["month"], replace="all")
+    january, february = rows_.filter("month = 1"), rows_.filter("month = 2")
+    stray = january.limit(1)
+    files.write_load(january, folder, ["month"], "2019-01")
+    for _ in range(2):
+        files.write_load(february.unionAll(stray), folder, ["month"], "2019-02 v/1")
+        out = spark.read.parquet(folder)
+        assert out.filter("month = 1").count() == january.count() + 1
+        assert out.count() == january.count() + february.count() + 1
+    # A corrected load without the stray ride takes its folder away.
+    files.write_load(february.limit(5), folder, ["month"], "2019-02 v/1")
+    out = spark.read.parquet(folder)
+    assert rows(out.groupBy("month").count()) == [(1, january.count()), (2, 5)]
+    files.write_load(rows_.limit(3).withColumn("month", F.lit(None).cast("int")), folder, ["month"], "2019-01")
+    assert spark.read.parquet(folder).count() == 8
+    files.write_partitioned(rows_.filter("month = 3"), folder, ["month"])
     assert spark.read.parquet(folder).select("month").distinct().count() == 1
 
 
@@ -67,12 +78,16 @@ def test_append_adds_and_load_replaces(spark):
     assert tables.replace_table(df, name).count() == df.count()
 
     dated = new_table("load")
-    tables.create_by_date(df.limit(0), dated, MONTHLY, path=path)
+    df = df.withColumn(MONTHLY.column, MONTHLY.of("pickup_datetime"))
+    tables.create_load_table(df, dated, [MONTHLY.column], path)
     for _ in range(2):
-        loaded = tables.load_dates(df, dated, MONTHLY)
+        loaded = tables.load_table(df, dated, [MONTHLY.column], "all")
     assert loaded.count() == df.count()
     february = df.filter(F.month("pickup_datetime") == 2)
-    assert tables.load_dates(february, dated, MONTHLY).count() == df.count()
+    # Columns go by name, whatever their order.
+    again = february.select(*reversed(february.columns))
+    assert tables.load_table(again, dated, [MONTHLY.column], "more").count() == df.count() + february.count()
+    assert tables.load_table(february, dated, [MONTHLY.column], "all").count() == 2 * february.count()
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
@@ -129,6 +144,17 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         assert joined.count() == 3000
 
 
+def test_a_hot_bucket_is_written_by_several_tasks(spark, folder):
+    hot = spark.range(300_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 > 0, F.lit(1)).otherwise(F.col("id")).alias("key"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m"):
+        table = tables.create_bucketed(hot, new_table("hot"), "key", 4, folder)
+    assert table.count() == 300_000
+    assert len(glob.glob(f"{folder}/*.parquet")) > 6
+
+
 def test_ddl(spark):
     df = trips(spark)
     assert tables.table_ddl(df, "t") == (
@@ -149,6 +175,31 @@ def test_csv_without_schema_is_text_and_gzip_is_spread(spark, folder):
     assert spread.count() == 3000 and spread.dtypes[1] == ("pickup_datetime", "timestamp_ntz")
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Zone,LocationID,note,Borough\nAstoria,7,x,Queens\n")
+    zones = fields("LocationID long, Borough string, Zone string")
+    assert rows(sources.read_csv(spark, str(tmp_path), zones)) == [(7, "Queens", "Astoria")]
+    assert sources.read_csv(spark, str(tmp_path), zones).select("Zone").first()[0] == "Astoria"
+    with pytest.raises(ValueError, match="Fare"):
+        sources.read_csv(spark, str(tmp_path), fields("LocationID long, Fare double"))
+    (tmp_path / "b.csv").write_text("LocationID,Zone,note,Borough\n8,Harlem,x,Manhattan\n")
+    with pytest.raises(Exception, match="header"):
+        sources.read_csv(spark, str(tmp_path), zones).collect()
+
+
+def test_feed_of_months_with_different_types(spark, folder):
+    """Whole numbers of either width, a missing column, and doubles, under one schema."""
+    feed = FeedSpec("x", "t", "t", fields("passenger_count double, VendorID long, fee double"))
+    data = [("int", "int"), ("bigint", "bigint"), ("double", "int"), ("double", "int")]
+    for i, (count, vendor) in enumerate(data):
+        df = spark.range(2).selectExpr(f"CAST(id AS {count}) AS passenger_count", f"CAST({i} AS {vendor}) AS VendorID")
+        (df.withColumn("fee", F.lit(1.5)) if i else df).write.parquet(f"{folder}/{i}")
+    read = sources.read_feed(spark, f"{folder}/*", feed)
+    assert read.dtypes == [("passenger_count", "double"), ("VendorID", "bigint"), ("fee", "double")]
+    assert rows(read) == sorted([(float(j), i, 1.5 if i else None) for i in range(4) for j in range(2)], key=str)
+    assert len(sources.schema_groups(spark, f"{folder}/*")) == 3
+
+
 def test_imposed_schema_covers_files_that_differ_by_a_widening(spark, folder):
     spark.createDataFrame([(1, 2)], "PULocationID int, passenger_count int").write.parquet(f"{folder}/2019/01")
     spark.createDataFrame([(3, 4.0)], "PULocationID bigint, passenger_count double").write.parquet(f"{folder}/2019/02")

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 
 from fareflow.operators import trade as T
 from fareflow.schemas import TRADE
-from fareflow.sources.payload import read_trade_payload
+from fareflow.sources.payload import payload_rejects, read_trade_payload
 from tests.conftest import plan, rows
 
 COLUMNS = ("flow", "year", "month", "destination_country", "origin_city", "origin_state", "section_cd", "fob", "net_weight")
@@ -111,7 +111,7 @@ def test_forecast_is_the_least_squares_line(trade, data):
     yearly = totals(data, ("destination_country", "year"), "fob", lambda r: 1997 <= r[1] <= 2000)
     want = {}
     for country in {c for c, _ in yearly}:
-        points = [(y, v) for (c, y), v in yearly.items() if c == country]
+        points = [(y, yearly.get((country, y), 0)) for y in range(1997, 2001)]
         mx = sum(x for x, _ in points) / len(points)
         my = sum(v for _, v in points) / len(points)
         base = sum((x - mx) ** 2 for x, _ in points)
@@ -121,9 +121,16 @@ def test_forecast_is_the_least_squares_line(trade, data):
     assert got == pytest.approx(want)
 
 
-def test_forecast_from_a_single_year_keeps_its_value(spark):
+def test_forecast_from_a_single_year(spark):
+    """A span of one year keeps its value; in a longer one the years without trade are 0."""
     df = spark.createDataFrame([(2000, "A", 10), (2000, "A", 5)], "year int, destination_country string, fob bigint")
-    assert rows(T.partner_forecast(df, 1995, 2000)) == [("A", 2001, 15.0)]
+    assert rows(T.partner_forecast(df, 2000, 2000)) == [("A", 2001, 15.0)]
+    assert rows(T.partner_forecast(df, 1999, 2000)) == [("A", 2001, 30.0)]
+
+
+def test_year_span(spark, trade, data):
+    years = [r[1] for r in data]
+    assert T.year_span(trade) == (min(years), max(years)) and T.year_span(trade.limit(0)) == (0, 0)
 
 
 def test_forecast_of_values_beyond_double_precision(spark):
@@ -178,7 +185,6 @@ def test_payload_lists_of_any_length(spark, tmp_path):
         {"data": {"list": [record(), record(b="2", i="11")]}},
         {"data": {"list": []}},
         {"data": {"list": [record(b="3")]}},
-        {"data": {"list": None}},
     ]
     (tmp_path / "m.json").write_text("\n".join(json.dumps(d) for d in documents))
     out = read_trade_payload(spark, str(tmp_path), NAMES)
@@ -196,3 +202,26 @@ def test_payload_with_a_value_that_is_no_number(spark, tmp_path):
     (tmp_path / "m.json").write_text(json.dumps({"data": {"list": [record(i="ten")]}}))
     with pytest.raises(PySparkException):
         read_trade_payload(spark, str(tmp_path), NAMES).collect()
+
+
+GOOD = {"data": {"list": [dict.fromkeys(NAMES) | {NAMES[0]: "1997", NAMES[1]: "2"}]}}
+
+
+@pytest.mark.parametrize(
+    "text, reason",
+    [
+        (json.dumps(GOOD, indent=1), "multiline"),
+        (json.dumps(GOOD)[:40], "multiline"),
+        ('{"data": {}}', "no data.list"),
+        ('{"data": {"list": [{"other": 1}]}}', "none of the fields"),
+    ],
+)
+def test_payload_that_cannot_be_used(spark, tmp_path, text, reason):
+    """It fails the read, or is left out and found among the rejects."""
+    (tmp_path / "good.json").write_text(json.dumps(GOOD))
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception, match=reason):
+        read_trade_payload(spark, str(tmp_path), NAMES).collect()
+    assert read_trade_payload(spark, str(tmp_path), NAMES, on_error="skip").count() == 1
+    found = payload_rejects(spark, str(tmp_path), NAMES).collect()
+    assert found and all(reason in r["reason"] and r["file"].endswith("bad.json") for r in found)

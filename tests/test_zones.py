@@ -6,8 +6,7 @@ import pytest
 
 from fareflow.operators import revenue
 from fareflow.operators import zones as Z
-from fareflow.session import setting
-from tests.conftest import plan, rows
+from tests.conftest import plan, rows, setting
 
 ZONES = [(1, "Q", "Astoria"), (2, "M", "Harlem"), (3, "M", "Harlem"), (4, "B", "Bay")]
 TRIPS = [(1, 2, 0.5)] * 60 + [(1, 9, 3.5), (1, None, 1.0), (None, 1, 9.0), (2, 3, 0.1), (3, 2, 0.2), (9, 9, 0.3)]
