@@ -8,8 +8,9 @@ probability. What survives is confirmed on the full shingle sets.
 Pairs of a bucket are never all listed. First each node is paired with the smallest one of its
 buckets, which links a group of near copies with one pair per member. Then only pairs that cross
 components matter: in a bucket with several components, the members outside its largest one meet
-all members, in cells of bounded size, and each offers its best few partners. Offers are verified,
-components merged, and the next round offers eight times as many, until no cell holds any back.
+all members, in cells of bounded size. A cell passes on the members that have a partner left after
+pruning; these are compared on their full sets, cell by cell, and a cell gives the links that merge its
+components: fewer than it has members, however many pairs it holds.
 """
 
 from __future__ import annotations
@@ -109,11 +110,10 @@ def describe(docs: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) with ``linked``: whether their full sets are similar enough."""
-    texts = docs.select("doc_id", "text")
-    left = texts.join(pairs, F.col("doc_id") == F.col("a")).select("a", "b", F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+def _verify(texts: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; texts: node, text."""
+    left = texts.join(pairs, F.col("node") == F.col("a")).select("a", "b", F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = left.join(right, "b").select("a", "b", "text_a", "text_b")
 
     def make():
@@ -132,7 +132,8 @@ def _verify(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
 
         return compute
 
-    return map_rows(both, make, "linked boolean", ("text_a", "text_b"), "text_a")
+    judged = map_rows(both, make, "linked boolean", ("text_a", "text_b"), "text_a")
+    return judged.filter("linked").select("a", "b")
 
 
 def _centre_pairs(placed: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
@@ -182,77 +183,145 @@ def _cells(members: DataFrame, nodes: DataFrame, roots: DataFrame, settings: Set
     return sides.join(nodes.select("node", "signature"), "node").select(*keep, "signature")
 
 
-OFFERS = struct(a=T.LongType(), b=T.LongType(), more=T.BooleanType())
+MEMBER = struct(
+    bucket=T.LongType(), row=T.LongType(), column=T.LongType(), side=T.IntegerType(), node=T.LongType(),
+    component=T.LongType(),
+)
+EDGE = struct(a=T.LongType(), b=T.LongType())
+CELL = ["bucket", "row", "column"]
+#: Shingles whose occurrences in a cell's members are multiplied at a time.
+COLUMNS = 8192
 
 
 class _Cells:
     """Rows of cells as arrays, in the order of their cells."""
 
-    def __init__(self, batch: pa.RecordBatch, settings: Settings):
+    def __init__(self, key, side, node, component, payload):
+        self.fields = key, side, node, component, payload
+        self.key, self.side, self.node, self.component, self.payload = self.fields
+
+    @classmethod
+    def read(cls, batch: pa.RecordBatch, payload: np.ndarray) -> _Cells:
         get = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
-        self.key = np.stack([get("bucket"), get("row"), get("column")], axis=1)
-        self.side, self.node, self.component = get("side"), get("node"), get("component")
-        self.matrix = _matrix(batch.column("signature"), settings)
+        key = np.stack([get(c) for c in CELL], axis=1)
+        return cls(key, get("side"), get("node"), get("component"), payload)
 
     def after(self, held: _Cells) -> _Cells:
-        for name in ("key", "side", "node", "component", "matrix"):
-            setattr(self, name, np.concatenate([getattr(held, name), getattr(self, name)]))
-        return self
+        return _Cells(*[np.concatenate(pair) for pair in zip(held.fields, self.fields)])
 
-    def rows(self, at: slice) -> _Cells:
-        part = object.__new__(_Cells)
-        for name in ("key", "side", "node", "component", "matrix"):
-            setattr(part, name, getattr(self, name)[at])
-        return part
+    def rows(self, at) -> _Cells:
+        return _Cells(*[x[at] for x in self.fields])
 
     def bounds(self) -> np.ndarray:
         """Where cells begin, and the end."""
         changes = (self.key[1:] != self.key[:-1]).any(axis=1)
         return np.concatenate([[0], np.flatnonzero(changes) + 1, [len(self.key)]])
 
-    def offers(self, most: int, settings: Settings) -> Iterator[tuple[int, int, bool]]:
-        """For each row of side 0 its best partners, and whether it has more."""
-        x, y = np.flatnonzero(self.side == 0), np.flatnonzero(self.side == 1)
-        node, matrix = self.node, self.matrix
-        first, least = least_matches(settings)[0]
-        for i in x:
-            others = y[self.component[y] != self.component[i]]
-            others = others[(matrix[others, :first] == matrix[i, :first]).sum(axis=1) >= least]
-            if not len(others):
-                continue
-            mine = np.broadcast_to(matrix[i], (len(others), settings.hashes))
-            alive, matches = prune(mine, matrix[others], settings)
-            best = others[alive][np.lexsort((node[others[alive]], -matches))]
-            for j in best[:most]:
-                yield max(node[i], node[j]), min(node[i], node[j]), len(best) > most
-
-
-def _offers(cells: DataFrame, most: int, settings: Settings) -> DataFrame:
-    """Of each cell, the best partners of each member of its side 0 (a, b), and whether it has more."""
-    key = ["bucket", "row", "column"]
-
-    def offered(cells: _Cells, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
-        rows: dict[tuple[int, int, bool], None] = {}
-        for start, end in zip(bounds, bounds[1:]):
-            rows.update(dict.fromkeys(cells.rows(slice(start, end)).offers(most, settings)))
-        if rows:
-            a, b, more = zip(*rows)
-            yield emit(OFFERS, {"a": a, "b": b, "more": more})
+
+def _by_cell(rows: DataFrame, payload, work, schema: T.StructType) -> DataFrame:
+    """``work`` on each cell of the rows; ``payload`` makes the array of what a batch's rows carry.
+
+    ``work`` takes the cells and the bounds of those that are complete, and returns columns.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             if batch.num_rows:
-                now = _Cells(batch, settings)
+                now = _Cells.read(batch, payload(batch))
                 now = now.after(held) if held else now
                 bounds = now.bounds()
-                yield from offered(now, bounds[:-1])
+                yield emit(schema, work(now, bounds[:-1]))
                 held = now.rows(slice(bounds[-2], None))
         if held:
-            yield from offered(held, np.array([0, len(held.key)]))
+            yield emit(schema, work(held, np.array([0, len(held.key)])))
+
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(run, schema)
+
+
+def _with_partners(cells: DataFrame, settings: Settings) -> DataFrame:
+    """The members of cells that have a partner on the other side left after pruning."""
+    first, least = least_matches(settings)[0]
 
-    dealt = cells.repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInArrow(run, OFFERS).groupBy("a", "b").agg(F.max("more").alias("more"))
+    def partners(cell: _Cells) -> np.ndarray:
+        matrix, component = cell.payload, cell.component
+        x, y = np.flatnonzero(cell.side == 0), np.flatnonzero(cell.side == 1)
+        found = np.zeros(len(matrix), bool)
+        for i in x:
+            others = y[component[y] != component[i]]
+            others = others[(matrix[others, :first] == matrix[i, :first]).sum(axis=1) >= least]
+            if len(others):
+                mine = np.broadcast_to(matrix[i], (len(others), settings.hashes))
+                others = others[prune(mine, matrix[others], settings)[0]]
+                found[others] = True
+                found[i] = len(others) > 0
+        return found
+
+    def work(cells: _Cells, bounds: np.ndarray) -> dict:
+        parts = [partners(cells.rows(slice(a, b))) for a, b in zip(bounds, bounds[1:])]
+        kept = cells.rows(np.flatnonzero(np.concatenate([*parts, np.zeros(len(cells.key) - bounds[-1], bool)])))
+        values = (*kept.key.T, kept.side, kept.node, kept.component)
+        return dict(zip(MEMBER.names, values))
+
+    return _by_cell(cells, lambda batch: _matrix(batch.column("signature"), settings), work, MEMBER)
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets share, as a matrix.
+
+    Elements of one set only are left out; the others are multiplied out in blocks of columns.
+    """
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1
+    common = count[column] > 1
+    owner, column = owner[common], number[column[common]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((len(sets), len(sets)))
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        at = slice(*np.searchsorted(column, [start, start + COLUMNS]))
+        block = np.zeros((len(sets), COLUMNS), np.float32)
+        block[owner[at], column[at] - start] = 1
+        shared += block @ block.T
+    return shared
+
+
+def _cell_links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) on full sets that join the components of each cell."""
+
+    def links(cell: _Cells) -> list[tuple[int, int]]:
+        nodes, first, at = np.unique(cell.node, return_index=True, return_inverse=True)
+        sets = [shingle_set(text) for text in cell.payload[first]]
+        size = np.array([len(x) for x in sets])
+        shared = shared_counts(sets)
+        near = (shared > 0) & (100 * shared >= settings.percent * (size[:, None] + size - shared))
+        asked, met = (np.unique(at[cell.side == side]) for side in (0, 1))
+        component = cell.component[first].tolist()
+        root = {c: c for c in component}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        out = []
+        for x, y in zip(*np.nonzero(near[np.ix_(asked, met)])):
+            x, y = int(asked[x]), int(met[y])
+            a, b = find(component[x]), find(component[y])
+            if a != b:
+                root[a] = b
+                out.append((int(nodes[x]), int(nodes[y])))
+        return out
+
+    def work(cells: _Cells, bounds: np.ndarray) -> dict:
+        found = [pair for a, b in zip(bounds, bounds[1:]) for pair in links(cells.rows(slice(a, b)))]
+        return {"a": [max(p) for p in found], "b": [min(p) for p in found]}
+
+    def payload(batch: pa.RecordBatch) -> np.ndarray:
+        return np.array(batch.column("text").to_pylist(), object)
+
+    return _by_cell(members.join(texts, "node").select(*MEMBER.names, "text"), payload, work, EDGE)
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -278,20 +347,17 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     placed = written(banded.join(buckets, "bucket"), "buckets")
     members = placed.select("bucket", "node")
 
-    tested = written(_verify(docs, _centre_pairs(placed, nodes, settings), settings), "tested")
-    roots = components(tested.filter("linked"))
-    most = 1
-    while True:
-        cells = _cells(members, nodes, roots, settings)
-        offers = written(_offers(cells, most, settings), "offers")
-        new = offers.join(tested.select("a", "b"), ["a", "b"], "left_anti").select("a", "b")
-        new = written(_verify(docs, new, settings), "tested")
-        tested = tested.unionAll(new)
-        if not new.filter("linked").isEmpty():
-            roots = components(tested.filter("linked"))
-        if offers.filter("more").isEmpty():
-            break
-        most *= 8
+    # Only the texts of nodes that have a candidate are looked at again.
+    wanted = members.select(F.col("node").alias("doc_id")).distinct()
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    texts = written(texts.select(F.col("doc_id").alias("node"), "text"), "texts")
+
+    edges = written(_verify(texts, _centre_pairs(placed, nodes, settings), settings), "links")
+    roots = components(edges)
+    left = written(_with_partners(_cells(members, nodes, roots, settings), settings), "members")
+    more = written(_cell_links(left, texts, settings), "links")
+    if not more.isEmpty():
+        roots = components(edges.unionAll(more))
 
     # A set of one document without links is its own component: nothing to look up.
     named = sets.select("set_key", "node", "n").join(roots, "node", "left").filter("n > 1 or component is not null")

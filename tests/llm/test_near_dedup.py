@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 
 from fareflow.llm.components import components
-from fareflow.llm.near_dedup import Settings, keep_one, least_matches, near_duplicates, prune
+from fareflow.llm import near_dedup
+from fareflow.llm.near_dedup import Settings, keep_one, least_matches, near_duplicates, prune, shared_counts
 from fareflow.llm.shingles import MinHash, shingle_set
 from tests.llm.brute import documents, near_components, shingles
 
@@ -11,7 +12,7 @@ def found(df):
     return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in df.collect()}
 
 
-# Cells of two members make every bucket many cells, and offers be held back.
+# Cells of two members make every bucket many cells.
 @pytest.mark.parametrize("settings", [Settings(), Settings(cell=2)])
 def test_against_brute_force(spark, settings):
     rows = documents()
@@ -85,3 +86,14 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {i: 1 for i in range(1, 41)} | {100: 50, 50: 50, 75: 50} | {1000 + i: 1000 for i in range(60)}
     assert got == want
+
+
+def test_shared_counts(monkeypatch):
+    random = np.random.RandomState(3)
+    sets = [np.unique(random.randint(0, 90, n)).astype(np.uint64) for n in (50, 1, 70, 0, 40)]
+    want = [[len(set(x.tolist()) & set(y.tolist())) for y in sets] for x in sets]
+    for columns in (8192, 7):
+        monkeypatch.setattr(near_dedup, "COLUMNS", columns)
+        got = shared_counts(sets)
+        assert all(got[i][j] == want[i][j] for i in range(5) for j in range(5) if i != j)
+    assert not shared_counts([np.array([1], np.uint64), np.array([2], np.uint64)]).any()
