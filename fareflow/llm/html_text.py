@@ -38,7 +38,7 @@ CLOSED_BY_SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr":
 MARKS = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation "
     "menu breadcrumb breadcrumbs sidebar aside footer masthead header notice notices alert cookie cookies "
-    "consent gdpr popup modal newsletter subscribe subscription signup login comment comments commentlist respond "
+    "consent gdpr disclaimer legal copyright popup modal newsletter subscribe subscription signup login comment comments commentlist respond "
     "reply replies disqus share sharing social related recommended pagination pager toolbar widget skip".split()
 )
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
