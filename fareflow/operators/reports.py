@@ -67,7 +67,7 @@ def service_share(trips: DataFrame, years: Sequence[int], ts: str = "pickup_date
 def rows_by_month(df: DataFrame, ts: str, months: Iterable[tuple[int, int]]) -> DataFrame:
     """Rows in each of the given months, and a ``total`` line over them.
 
-    One pass: the total adds up the monthly counts, whose shuffle Spark reuses.
+    One pass: each month's count goes to its own line and to the total, which is there without rows too.
     """
     starts = [F.lit(f"{year:04d}-{month:02d}-01").cast("date") for year, month in months]
     one_of = F.lit(False)
@@ -78,5 +78,6 @@ def rows_by_month(df: DataFrame, ts: str, months: Iterable[tuple[int, int]]) ->
     counts = count_by(
         df.filter(one_of), F.date_format(month_date(ts), "yyyy-MM").alias("period"), name="rows"
     )
-    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
-    return counts.unionByName(total.select(F.lit("total").alias("period"), "rows"))
+    lines = counts.select(F.explode(F.array("period", F.lit("total"))).alias("period"), "rows")
+    none = df.sparkSession.range(1).select(F.lit("total").alias("period"), F.lit(0).cast("long").alias("rows"))
+    return lines.unionByName(none).groupBy("period").agg(F.sum("rows").alias("rows"))

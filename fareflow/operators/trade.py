@@ -164,13 +164,15 @@ def top_sections(trade: DataFrame, n: int = 5) -> DataFrame:
 
 
 def section_share(trade: DataFrame) -> DataFrame:
-    """Each section's share of its flow's value and weight."""
-    per_section = traded_by(trade, "flow", "section_cd")
-    per_flow = per_section.groupBy("flow").agg(*[F.sum(m).alias(f"all_{m}") for m in MEASURES])
-    return per_section.join(per_flow, "flow").select(
+    """Each section's share of its flow's value and weight.
+
+    The window runs over the grouped rows: one per section and flow.
+    """
+    per_flow = Window.partitionBy("flow")
+    return traded_by(trade, "flow", "section_cd").select(
         "flow",
         "section_cd",
-        *[(F.col(m) / F.col(f"all_{m}")).alias(f"{m}_share") for m in MEASURES],
+        *[(F.col(m) / F.sum(m).over(per_flow)).alias(f"{m}_share") for m in MEASURES],
     )
 
 

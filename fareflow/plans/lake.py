@@ -87,7 +87,7 @@ def src_parquet(spark, sf_dir):
     return sources.read_parquet(spark, f"{sf_dir}/orders.parquet")
 
 
-RIDE_DAYS = fields("EVENT_ID long, user_id int, ts date, value double")
+RIDE_DAYS = fields(EVENT_ID="long", user_id="integer", ts="date", value="double")
 
 
 @query(

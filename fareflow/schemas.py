@@ -8,75 +8,75 @@ from pyspark.sql import types as T
 
 # Feed times are wall-clock times without a zone.
 TIMESTAMP = T.TimestampNTZType()
-_TYPES = {
-    "long": T.LongType(),
-    "int": T.IntegerType(),
-    "double": T.DoubleType(),
-    "float": T.FloatType(),
-    "string": T.StringType(),
-    "date": T.DateType(),
-    "timestamp": TIMESTAMP,
-}
 
 
-def fields(text: str) -> T.StructType:
-    """``"a long, b string"`` as a schema of nullable fields."""
-    pairs = (part.split() for part in text.split(","))
-    return T.StructType([T.StructField(name, _TYPES[kind], True) for name, kind in pairs])
+def fields(**columns: str) -> T.StructType:
+    """A schema of nullable fields from names and Spark's type names."""
+    schema = T.StructType()
+    for name, kind in columns.items():
+        schema.add(name, kind)
+    return schema
 
 
 # Column names, order and types of the public trip feeds.
-GREEN = fields("""
-    VendorID long, lpep_pickup_datetime timestamp, lpep_dropoff_datetime timestamp,
-    store_and_fwd_flag string, RatecodeID double, PULocationID long, DOLocationID long,
-    passenger_count double, trip_distance double, fare_amount double, extra double,
-    mta_tax double, tip_amount double, tolls_amount double, improvement_surcharge double,
-    total_amount double, payment_type double, trip_type double, congestion_surcharge double
-""")
-
-YELLOW = fields("""
-    VendorID long, tpep_pickup_datetime timestamp, tpep_dropoff_datetime timestamp,
-    passenger_count double, trip_distance double, RatecodeID double, store_and_fwd_flag string,
-    PULocationID long, DOLocationID long, payment_type long, fare_amount double, extra double,
-    mta_tax double, tip_amount double, tolls_amount double, improvement_surcharge double,
-    total_amount double, congestion_surcharge double, airport_fee double
-""")
-
-HIGH_VOLUME = fields("""
-    hvfhs_license_num string, dispatching_base_num string, originating_base_num string,
-    request_datetime timestamp, on_scene_datetime timestamp, pickup_datetime timestamp,
-    dropoff_datetime timestamp, PULocationID long, DOLocationID long, trip_miles double,
-    trip_time long, base_passenger_fare double, tolls double, bcf double, sales_tax double,
-    congestion_surcharge double, airport_fee double, tips double, driver_pay double,
-    shared_request_flag string, shared_match_flag string, access_a_ride_flag string,
-    wav_request_flag string, wav_match_flag string
-""")
-
-FOR_HIRE = fields("""
-    dispatching_base_num string, pickup_datetime timestamp, dropoff_datetime timestamp,
-    PULocationID int, DOLocationID int, SR_Flag string, Affiliated_base_number string
-""")
-
-ZONES = fields("LocationID long, Borough string, Zone string")
+GREEN = fields(
+    VendorID="long", lpep_pickup_datetime="timestamp_ntz", lpep_dropoff_datetime="timestamp_ntz",
+    store_and_fwd_flag="string", RatecodeID="double", PULocationID="long", DOLocationID="long",
+    passenger_count="double", trip_distance="double", fare_amount="double", extra="double",
+    mta_tax="double", tip_amount="double", tolls_amount="double", improvement_surcharge="double",
+    total_amount="double", payment_type="double", trip_type="double",
+    congestion_surcharge="double",
+)
+
+YELLOW = fields(
+    VendorID="long", tpep_pickup_datetime="timestamp_ntz", tpep_dropoff_datetime="timestamp_ntz",
+    passenger_count="double", trip_distance="double", RatecodeID="double",
+    store_and_fwd_flag="string", PULocationID="long", DOLocationID="long", payment_type="long",
+    fare_amount="double", extra="double", mta_tax="double", tip_amount="double",
+    tolls_amount="double", improvement_surcharge="double", total_amount="double",
+    congestion_surcharge="double", airport_fee="double",
+)
+
+HIGH_VOLUME = fields(
+    hvfhs_license_num="string", dispatching_base_num="string", originating_base_num="string",
+    request_datetime="timestamp_ntz", on_scene_datetime="timestamp_ntz",
+    pickup_datetime="timestamp_ntz", dropoff_datetime="timestamp_ntz", PULocationID="long",
+    DOLocationID="long", trip_miles="double", trip_time="long", base_passenger_fare="double",
+    tolls="double", bcf="double", sales_tax="double", congestion_surcharge="double",
+    airport_fee="double", tips="double", driver_pay="double", shared_request_flag="string",
+    shared_match_flag="string", access_a_ride_flag="string", wav_request_flag="string",
+    wav_match_flag="string",
+)
+
+FOR_HIRE = fields(
+    dispatching_base_num="string", pickup_datetime="timestamp_ntz",
+    dropoff_datetime="timestamp_ntz", PULocationID="integer", DOLocationID="integer",
+    SR_Flag="string", Affiliated_base_number="string",
+)
+
+ZONES = fields(LocationID="long", Borough="string", Zone="string")
 
 # Positional names of a trade payload record and the columns a trade table keeps.
 TRADE_PAYLOAD = (
     "year", "month", "destination_country", "trade_bloc", "origin_city", "origin_state",
     "section_cd", "section_ds", "fob", "net_weight",
 )
-TRADE = fields("""
-    year int, month int, destination_country string, origin_city string, origin_state string,
-    section_cd string, section_ds string, fob long, net_weight long
-""")
+TRADE = fields(
+    year="integer", month="integer", destination_country="string", origin_city="string",
+    origin_state="string", section_cd="string", section_ds="string", fob="long", net_weight="long",
+)
 
 # Message shapes of the streams.
-RIDE_KEY = fields("vendorId int")
+RIDE_KEY = fields(vendorId="integer")
 RIDE = fields(
-    "vendorId int, passenger_count int, trip_distance float, payment_type int, total_amount float"
+    vendorId="integer", passenger_count="integer", trip_distance="float", payment_type="integer",
+    total_amount="float",
+)
+PRICE = T.StructType([T.StructField("data", fields(amount="string"), True)])
+COUNTER = fields(number="integer")
+ENVELOPE = fields(
+    key="string", value="string", topic="string", partition="integer", offset="long",
 )
-PRICE = T.StructType([T.StructField("data", fields("amount string"), True)])
-COUNTER = fields("number int")
-ENVELOPE = fields("key string, value string, topic string, partition int, offset long")
 
 # The 18 columns green and yellow trips share, and the report measures over them.
 SHARED_COLUMNS = (

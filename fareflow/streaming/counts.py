@@ -22,4 +22,4 @@ def vendor_counts(decoded: DataFrame) -> DataFrame:
 
 
 #: The rows of :func:`vendor_counts`.
-VENDOR_COUNTS = fields("vendorId int, rides long")
+VENDOR_COUNTS = fields(vendorId="integer", rides="long")

@@ -13,24 +13,24 @@ NAN = float("nan")
 
 def test_conform_orders_casts_and_drops(spark):
     df = spark.createDataFrame([(7, "x", 2.0)], "PUlocationID bigint, extra string, total double")
-    out = cleaning.conform(df, fields("total int, PULocationID int"))
+    out = cleaning.conform(df, fields(total="integer", PULocationID="integer"))
     assert out.dtypes == [("total", "int"), ("PULocationID", "int")]
     assert rows(out) == [(2, 7)]
 
 
 def test_conform_names_a_missing_column(spark):
     with pytest.raises(KeyError, match="fare"):
-        cleaning.conform(spark.range(1), fields("id long, fare double"))
+        cleaning.conform(spark.range(1), fields(id="long", fare="double"))
 
 
 def test_conform_fails_or_nulls_what_does_not_fit(spark):
     df = spark.createDataFrame([("12",), ("x",)], "id string")
     with pytest.raises(PySparkException):
-        cleaning.conform(df, fields("id int")).collect()
-    assert rows(cleaning.conform(df, fields("id int"), strict=False)) == [(12,), (None,)]
+        cleaning.conform(df, fields(id="integer")).collect()
+    assert rows(cleaning.conform(df, fields(id="integer"), strict=False)) == [(12,), (None,)]
     big = spark.createDataFrame([(2**40,)], "id bigint")
     with pytest.raises(PySparkException):
-        cleaning.conform(big, fields("id int")).collect()
+        cleaning.conform(big, fields(id="integer")).collect()
 
 
 def test_fix_timestamps(spark):

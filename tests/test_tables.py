@@ -169,7 +169,9 @@ def test_csv_without_schema_is_text_and_gzip_is_spread(spark, folder):
     trips(spark).write.option("header", True).option("compression", "gzip").csv(folder)
     text = sources.read_csv(spark, folder)
     assert {kind for _, kind in text.dtypes} == {"string"}
-    typed = fields("VendorID int, pickup_datetime timestamp, fare double")
+    typed = fields(
+    VendorID="integer", pickup_datetime="timestamp_ntz", fare="double",
+)
     spread = sources.read_csv(spark, folder, typed, parallelism=6)
     assert spread.rdd.getNumPartitions() == 6
     assert spread.count() == 3000 and spread.dtypes[1] == ("pickup_datetime", "timestamp_ntz")
@@ -177,11 +179,11 @@ def test_csv_without_schema_is_text_and_gzip_is_spread(spark, folder):
 
 def test_csv_columns_are_found_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Zone,LocationID,note,Borough\nAstoria,7,x,Queens\n")
-    zones = fields("LocationID long, Borough string, Zone string")
+    zones = fields(LocationID="long", Borough="string", Zone="string")
     assert rows(sources.read_csv(spark, str(tmp_path), zones)) == [(7, "Queens", "Astoria")]
     assert sources.read_csv(spark, str(tmp_path), zones).select("Zone").first()[0] == "Astoria"
     with pytest.raises(ValueError, match="Fare"):
-        sources.read_csv(spark, str(tmp_path), fields("LocationID long, Fare double"))
+        sources.read_csv(spark, str(tmp_path), fields(LocationID="long", Fare="double"))
     (tmp_path / "b.csv").write_text("LocationID,Zone,note,Borough\n8,Harlem,x,Manhattan\n")
     with pytest.raises(Exception, match="header"):
         sources.read_csv(spark, str(tmp_path), zones).collect()
@@ -189,7 +191,7 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
 
 def test_feed_of_months_with_different_types(spark, folder):
     """Whole numbers of either width, a missing column, and doubles, under one schema."""
-    feed = FeedSpec("x", "t", "t", fields("passenger_count double, VendorID long, fee double"))
+    feed = FeedSpec("x", "t", "t", fields(passenger_count="double", VendorID="long", fee="double"))
     data = [("int", "int"), ("bigint", "bigint"), ("double", "int"), ("double", "int")]
     for i, (count, vendor) in enumerate(data):
         df = spark.range(2).selectExpr(f"CAST(id AS {count}) AS passenger_count", f"CAST({i} AS {vendor}) AS VendorID")
@@ -203,7 +205,7 @@ def test_feed_of_months_with_different_types(spark, folder):
 def test_imposed_schema_covers_files_that_differ_by_a_widening(spark, folder):
     spark.createDataFrame([(1, 2)], "PULocationID int, passenger_count int").write.parquet(f"{folder}/2019/01")
     spark.createDataFrame([(3, 4.0)], "PULocationID bigint, passenger_count double").write.parquet(f"{folder}/2019/02")
-    df = sources.read_parquet(spark, f"{folder}/*/*", fields("PULocationID long, passenger_count double"))
+    df = sources.read_parquet(spark, f"{folder}/*/*", fields(PULocationID="long", passenger_count="double"))
     assert rows(df) == [(1, 2.0), (3, 4.0)]
 
 
