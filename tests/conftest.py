@@ -54,11 +54,5 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def final_plan(df) -> str:
-    """The physical plan as it ran."""
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
