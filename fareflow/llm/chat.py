@@ -161,8 +161,14 @@ def _in_order(conversations: DataFrame) -> DataFrame:
     return columns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
-FORMATTED = struct(conv_id=T.LongType(), segment=T.IntegerType(), formatted=T.StringType(), ids=T.ArrayType(T.IntegerType()), starts=T.ArrayType(T.LongType()), ends=T.ArrayType(T.LongType()), loss=T.ArrayType(T.BooleanType()))
-DIGESTS = struct(conv_id=T.LongType(), n_turns=T.LongType(), turns_sha256=T.StringType(), loss_chars=T.LongType(), loss_sha256=T.StringType(), formatted_chars=T.LongType())
+FORMATTED = struct(
+    conv_id=T.LongType(), segment=T.IntegerType(), formatted=T.StringType(), ids=T.ArrayType(T.IntegerType()),
+    starts=T.ArrayType(T.LongType()), ends=T.ArrayType(T.LongType()), loss=T.ArrayType(T.BooleanType()),
+)
+DIGESTS = struct(
+    conv_id=T.LongType(), n_turns=T.LongType(), turns_sha256=T.StringType(), loss_chars=T.LongType(),
+    loss_sha256=T.StringType(), formatted_chars=T.LongType(),
+)
 
 
 def format_conversations(conversations: DataFrame, path: str) -> DataFrame:

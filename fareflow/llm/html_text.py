@@ -25,15 +25,19 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var img wbr".split()
 )
-#: Elements that are never part of an article, and those whose end tag may be missing at a new block.
+#: Elements that are never part of an article.
 ASIDE = set(
     "head title nav header footer aside form script style noscript template iframe object svg canvas button "
     "select textarea dialog menu audio video map math".split()
 )
 #: Elements that a page's main text stands in.
 MAIN = {"article", "main"}
+#: Elements that end where the next block begins.
 CLOSED_BY_BLOCK = {"p"}
-CLOSED_BY_SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}}
+#: Elements that end where another of their kind begins, and the elements that such an end stays inside.
+CLOSED_BY_SAME = {
+    "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"},
+}
 #: Words of a class or id that mark such blocks on any element, and roles that do.
 MARKS = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation "
