@@ -333,7 +333,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     """
     described = written(describe(docs, settings), "signatures")
     able = described.filter("n_shingles > 0 and doc_id is not null")
-    sets = able.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.count(F.lit(1)).alias("n"))
+    sets = able.groupBy("set_key").agg(
+        F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.count(F.lit(1)).alias("n")
+    )
     sets = written(sets, "sets")
     nodes = sets.select("node", "signature")
 
@@ -373,7 +375,10 @@ def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     found = near_duplicates(docs.select("doc_id", "text"), settings).filter("doc_id is not null")
     ids = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     ids = written(ids.filter("not kept or n > 1"), "changed")
-    rest = docs.join(ids.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    # Rows that were repeated as they are: one of each id.
+    # Hashing the ids, not sorting the texts.
+    rest = docs.join(ids.select("doc_id").hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    # Rows that were repeated as they are: one of each id. Mostly there are none to look for.
+    if ids.filter("kept").isEmpty():
+        return rest
     repeated = docs.join(ids.filter("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
     return rest.unionAll(repeated.dropDuplicates(["doc_id"]))
