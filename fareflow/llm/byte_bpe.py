@@ -27,7 +27,7 @@ from fareflow.llm.common import map_rows
 #: Byte b is written as the letter with this code point plus b. None of them is white space.
 FIRST_LETTER = 0x100
 #: Pre-tokens whose ids a task's process remembers, and the longest it remembers.
-MEMO, MEMO_CHARS = 400_000, 48
+MEMO, MEMO_CHARS = 100_000, 48
 IDS = np.dtype("<u4")
 
 

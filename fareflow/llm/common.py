@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -18,7 +17,7 @@ BLANKS = "\t\n\x0b\x0c\r "
 #: A word, as a pattern of Spark and DuckDB.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts of a batch are handled in slices of about this many bytes.
-SLICE_BYTES = 8 * 1024**2
+SLICE_BYTES = 2 * 1024**2
 
 
 def words(text: str | None) -> list[bytes]:
@@ -97,8 +96,3 @@ def struct(**columns: T.DataType) -> T.StructType:
 def emit(schema: T.StructType, rows: dict[str, Sequence]) -> pa.RecordBatch:
     arrow = to_arrow_schema(schema)
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in arrow], schema=arrow)
-
-
-def text_key(column: str = "text"):
-    """128 bits of the text; a null and an empty text have the same."""
-    return F.unhex(F.md5(F.coalesce(F.col(column), F.lit(""))))

@@ -10,7 +10,7 @@ import xxhash
 from fareflow.llm.common import words
 
 SIZE = 5
-MEMO = 400_000
+MEMO = 100_000
 #: Shingles that are hashed at a time: bounds the memory of a long text.
 BLOCK = 4096
 
