@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 from tokenizers import Tokenizer
 
-from fareflow.llm.common import map_rows
+from fareflow.llm.common import map_rows, written
 
 CACHE = "digest binary, tokenizer string, n_tokens long"
-MEMO, MEMO_CHARS = 400_000, 48
+#: Parts whose counts a task's process remembers, the longest it remembers, and how many are encoded at a
+#: time: the library's results take some kilobytes each.
+MEMO, MEMO_CHARS, BATCH = 100_000, 48, 5_000
 
 
 def tokenizer_digest(path: str) -> str:
@@ -48,7 +50,11 @@ class Counter:
         self.memo: dict[str, int] = {}
 
     def _library(self, texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = []
+        for at in range(0, len(texts), BATCH):
+            encoded = self.library.encode_batch_fast(texts[at : at + BATCH], add_special_tokens=False)
+            counts += [len(e.ids) for e in encoded]
+        return counts
 
     def counts(self, texts: Iterable[str | None]) -> list[int]:
         texts = [t or "" for t in texts]
@@ -127,7 +133,8 @@ def token_counts(docs: DataFrame, cache: str, path: str, pattern: str) -> DataFr
     fill_cache(docs, cache, path, pattern)
     spark, version = docs.sparkSession, tokenizer_digest(path)
     stored = read_cache(spark, cache).filter(F.col("tokenizer") == version)
-    stored = stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # Written, so that the join reads plain shuffles of both sides and a hot digest can be split.
+    stored = written(stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     n_bytes = F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long")
     rows = docs.select("doc_id", n_bytes.alias("n_bytes"), _digest().alias("digest"))
     return rows.join(stored, "digest").select("doc_id", "n_bytes", "n_tokens")
