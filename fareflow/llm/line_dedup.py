@@ -161,7 +161,8 @@ def dropped_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     """
     found = written(suspects(docs, settings).distinct(), "suspects")
     common = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
-    common = common.filter(F.col("n") >= settings.least_documents).select("digest", "keeper")
+    # Written, so that the join reads a plain shuffle of the suspects and a hot line can be split.
+    common = written(common.filter(F.col("n") >= settings.least_documents).select("digest", "keeper"), "common")
     lost = found.join(common, "digest").filter("id <> keeper")
     return lost.groupBy("id").agg(F.collect_list("digest").alias("digests"))
 
