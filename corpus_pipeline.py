@@ -9,6 +9,9 @@ from fareflow.llm import byte_bpe, line_dedup, mixing, near_dedup, quality
 from fareflow.llm.common import table, written
 from fareflow.llm.queries import MULTI_BPE
 
+#: Documents are near copies from a similarity of 0.8 on; at 0.8 a pair shares no band with probability 9e-7.
+NEAR = near_dedup.Settings(percent=80, bands=35)
+
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
@@ -19,7 +22,7 @@ def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, NEAR)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
