@@ -9,12 +9,14 @@ from fareflow.llm import byte_bpe, line_dedup, mixing, near_dedup, quality
 from fareflow.llm.common import table, written
 from fareflow.llm.queries import MULTI_BPE
 
+#: A document that breaks no rule stays, whatever its host's others break.
+GOOD = quality.Limits(spare_clean=True)
 #: Documents are near copies from a similarity of 0.8 on; at 0.8 a pair shares no band with probability 9e-7.
 NEAR = near_dedup.Settings(percent=80, bands=35)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, GOOD)
 
 
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,8 @@ class Limits:
     host_rate: float = 0.3
     #: A host of which this share fails the base rules goes as a whole.
     host_reject: float = 0.9
+    #: Of such a host, documents that break no rule at all stay.
+    spare_clean: bool = False
     certainty_sd: float = 1.645
     #: The verdicts are broadcast up to so many hosts (about 100 bytes each), else joined by shuffle.
     broadcast_hosts: int = 100_000
@@ -148,6 +150,9 @@ def judge(measured: DataFrame, verdicts: DataFrame, hosts: int, limits: Limits =
     rows = measured.join(verdicts, measured["source"].eqNullSafe(verdicts[host]), "left")
     base, *soft = zip(rules, flags)
     bad = F.coalesce(F.col(base[1]), F.lit(False))
+    if limits.spare_clean:
+        broken = [rules[rule] for rule, _ in soft]
+        bad = bad & F.greatest(*broken)
     for rule, flag in soft:
         bad = bad | (F.coalesce(F.col(flag), F.lit(False)) & rules[rule])
     failed = rules["base"]
