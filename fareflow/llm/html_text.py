@@ -3,8 +3,10 @@
 The standard library's parser streams a page's events. A line is the text of one block element, with
 the number of tags met in it; its ratio is characters per tag. Ratios are smoothed with a Gaussian
 along the page, a threshold splits them into content and the rest, and the content lines choose the
-region of the page that holds them. All lines of that region are the text, short ones too, but for
-blocks that are never part of an article (menus, adverts, forms, comments and the like).
+region of the page: the smallest block that holds them all. All lines of that region are the text,
+short ones too, but for blocks that are never part of an article (menus, adverts, forms, comments and
+the like). An <article> or <main> around the region widens it; one inside it breaks the tie between
+the region's blocks if it holds most of the content.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -200,38 +203,46 @@ def threshold(values: np.ndarray, rounds: int = 20) -> float:
 
 
 def content(lines: list[Line]) -> np.ndarray:
-    """Which lines are content by their ratios."""
-    ratios = smoothed(np.array([len(line.text) / max(line.tags, 1) for line in lines], float))
-    return ratios >= min(threshold(ratios), float(ratios.max()))
+    """Which lines are content by their ratios: smoothed, and not by their neighbours' alone."""
+    ratios = np.array([len(line.text) / max(line.tags, 1) for line in lines], float)
+    values = smoothed(ratios)
+    least = min(threshold(values), float(values.max()))
+    own = (values >= least) & (ratios >= least)
+    return own if own.any() else values >= least
 
 
-def region(lines: list[Line], main: set[int], most: float = 0.9) -> list[Line]:
-    """The lines of the blocks that hold the content.
+def region(lines: list[Line], main: set[int]) -> list[Line]:
+    """The lines of the smallest block that holds all content lines.
 
-    From the whole page it goes down into the block that holds most of the content's characters, and
-    stops at an article. Of several articles side by side all with content are taken.
+    An article around that block is taken whole. Of content inside and outside of articles, those with
+    most of it are taken; of content all over the page and in no article, so that no block is singled
+    out, any articles.
     """
-    chosen = content(lines)
-    if held := [i for i in np.flatnonzero(chosen) if main.intersection(lines[i].path)]:
-        tops = {next(b for b in lines[i].path if b in main) for i in held}
-        return [line for line in lines if tops.intersection(line.path)]
-    if main and (inside := [line for line in lines if main.intersection(line.path)]):
-        return inside  # a short article on a page of long lines
-    depth, inside = 0, list(range(len(lines)))
-    while True:
-        size: dict[int, int] = {}
-        for i in inside:
-            if chosen[i] and len(lines[i].path) > depth:
-                block = lines[i].path[depth]
-                size[block] = size.get(block, 0) + len(lines[i].text)
-        total = sum(len(lines[i].text) for i in inside if chosen[i])
-        block = max(size, key=size.get, default=None)
-        if block is None or size[block] < most * total:
-            return [lines[i] for i in inside]
-        within = [i for i in inside if len(lines[i].path) > depth and lines[i].path[depth] == block]
-        if len(within) == 1 and len(inside) > 1:
-            return [lines[i] for i in inside]  # a line is no region
-        depth, inside = depth + 1, within
+    chosen = [line for line, is_content in zip(lines, content(lines)) if is_content]
+    path = commonprefix([line.path for line in chosen])
+
+    def within(depth: int) -> tuple[int, int]:
+        """Where the lines of the block at that depth begin and end; lines of a block are neighbours."""
+        block = path[max(depth - 1, 0) : depth]
+        held = [i for i, x in enumerate(lines) if x.path[max(depth - 1, 0) : depth] == block]
+        return held[0], held[-1] + 1
+
+    depth = next((d for d, block in enumerate(path, 1) if block in main), len(path))
+    start, end = within(depth)
+    if main.intersection(path):
+        return lines[start:end]
+    # Up to a block with other lines beside it: a line is no region, and a block around a block no other one.
+    while depth and end - start == 1 < len(lines):
+        depth -= 1
+        start, end = within(depth)
+    inside = lambda x: next((b for b in x.path if b in main), None)
+    held = [x for x in chosen if inside(x) is not None]
+    tops = {inside(x) for x in held}
+    if tops and 2 * sum(len(x.text) for x in held) >= sum(len(x.text) for x in chosen):
+        return [line for line in lines if inside(line) in tops]
+    if end - start == len(lines):
+        return [line for line in lines if inside(line) is not None and not tops] or lines
+    return lines[start:end]
 
 
 def main_text(html: str | None) -> str:

@@ -1,0 +1,26 @@
+"""The content lines choose the region; <article> and <main> only widen it or break a tie."""
+
+from fareflow.llm import html_text
+from fareflow.llm.html_text import main_text
+
+LONG = [f"Sentence {i} of a text that is long enough to be content by its ratio of characters to tags, on any page." for i in range(6)]
+BODY = "".join(f"<p>{x}</p>" for x in LONG)
+LINKS = "<ul>" + "".join(f"<li><a href='/{i}'>link {i}</a></li>" for i in range(12)) + "</ul>"
+
+
+def test_the_ratios_choose_not_the_tag():
+    teaser = "<article><h2><a href='/'>Teaser</a></h2></article>"
+    page = f"<body><div>{LINKS}</div><div>{teaser}</div><div>{LINKS}</div><div id='story'>{BODY}</div><div>{LINKS}</div></body>"
+    assert main_text(page) == " ".join(LONG)
+
+
+def test_the_choice_of_lines_changes_the_text(monkeypatch):
+    page = f"<body><div>{LINKS}</div><article>{BODY}</article><div>{LINKS}</div></body>"
+    assert main_text(page) == " ".join(LONG)
+    monkeypatch.setattr(html_text, "content", lambda lines: [i < 12 for i in range(len(lines))])
+    assert main_text(page) == " ".join(f"link {i}" for i in range(12))
+
+
+def test_an_article_widens_the_region():
+    page = f"<body><div>{LINKS}</div><article><div><h1>Title</h1></div><div>{BODY}</div><div><p>End.</p></div></article></body>"
+    assert main_text(page) == f"Title {' '.join(LONG)} End."
