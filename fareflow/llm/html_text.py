@@ -35,6 +35,7 @@ ASIDE = set(
 )
 #: Elements that a page's main text stands in.
 MAIN = {"article", "main"}
+HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Elements that end where the next block begins.
 CLOSED_BY_BLOCK = {"p"}
 #: Elements that end where another of their kind begins, and the elements that such an end stays inside.
@@ -77,11 +78,12 @@ def marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
 
 @dataclass
 class Line:
-    """The text of a block, the tags met in it, and the blocks it stands in, outermost first."""
+    """The text of a block, the tags met in it, the blocks it stands in, outermost first, and the last one's tag."""
 
     text: str
     tags: int
     path: tuple[int, ...]
+    block: str = ""
 
 
 @dataclass
@@ -104,8 +106,9 @@ class Lines(HTMLParser):
 
     def end_line(self) -> None:
         if text := " ".join("".join(self.pieces).split()):
-            path = tuple(e.block for e in self.open if e.tag not in INLINE)
-            self.lines.append(Line(text, self.tags, path))
+            blocks = [e for e in self.open if e.tag not in INLINE]
+            path = tuple(e.block for e in blocks)
+            self.lines.append(Line(text, self.tags, path, blocks[-1].tag if blocks else ""))
         self.pieces, self.tags = [], 0
 
     @property
@@ -212,7 +215,7 @@ def content(lines: list[Line]) -> np.ndarray:
 
 
 def region(lines: list[Line], main: set[int]) -> list[Line]:
-    """The lines of the smallest block that holds all content lines.
+    """The lines of the smallest block that holds all content lines, and the headings it stands under.
 
     An article around that block is taken whole. Of content inside and outside of articles, those with
     most of it are taken; of content all over the page and in no article, so that no block is singled
@@ -242,7 +245,15 @@ def region(lines: list[Line], main: set[int]) -> list[Line]:
         return [line for line in lines if inside(line) in tops]
     if end - start == len(lines):
         return [line for line in lines if inside(line) is not None and not tops] or lines
-    return lines[start:end]
+    while within(depth - 1) == (start, end):
+        depth -= 1
+    first, _ = within(depth - 1)
+    before = start
+    while before > first and (len(lines[before - 1].path) <= depth or lines[before - 1].block in HEADING):
+        before -= 1
+    while before < start and lines[before].block not in HEADING | {"p"}:
+        before += 1
+    return lines[before:end]
 
 
 def main_text(html: str | None) -> str:

@@ -1,5 +1,7 @@
 """The content lines choose the region; <article> and <main> only widen it or break a tie."""
 
+import pytest
+
 from fareflow.llm import html_text
 from fareflow.llm.html_text import main_text
 
@@ -24,3 +26,17 @@ def test_the_choice_of_lines_changes_the_text(monkeypatch):
 def test_an_article_widens_the_region():
     page = f"<body><div>{LINKS}</div><article><div><h1>Title</h1></div><div>{BODY}</div><div><p>End.</p></div></article></body>"
     assert main_text(page) == f"Title {' '.join(LONG)} End."
+
+
+@pytest.mark.parametrize("wrap", ["%s", "<div class='wrap'>%s</div>"])
+def test_heading_and_lead_outside_the_body_block(wrap):
+    body = wrap % f"<div class='body'>{BODY}</div>"
+    page = f"<body><div>{LINKS}</div><div class='content'><h1>Title</h1><p>lead</p>{body}</div><div>{LINKS}</div></body>"
+    assert main_text(page) == f"Title lead {' '.join(LONG)}"
+
+
+def test_both_blocks_of_an_article():
+    short = f"<div class='two'><p>{LONG[0]}</p></div>"
+    more = "".join(f"<p>{i} {x}</p>" for i in range(3) for x in LONG)
+    page = f"<body><div>{LINKS}</div><div class='content'><div class='one'>{more}</div>{short}</div><div>{LINKS}</div></body>"
+    assert main_text(page) == " ".join([f"{i} {x}" for i in range(3) for x in LONG] + LONG[:1])
