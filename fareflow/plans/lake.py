@@ -215,16 +215,18 @@ def _trade_documents(spark, sf_dir):
              ('not a document of one line; see multiline')) r(reason)"""
 )
 def payload_rejects(spark, sf_dir):
-    """For each month a text that was cut off, a document without a list and one with other names."""
-    months = B.trade(spark, sf_dir, "year", "month").distinct()
-    place = F.concat(F.col("year").cast("string"), F.lit("-"), F.col("month").cast("string"))
-    broken = (
-        '{"data": {"list": [{"f00": "%s"', '{"data": {"note": "%s"}}', '{"data": {"list": [{"other": "%s"}]}}',
-    )
-    texts = [F.format_string(text, place) for text in broken]
+    """All documents of both flows, and of each month one more that is cut off, has no list or has other names."""
     folder = new_folder(spark, "broken-json")
-    lines = months.select("year", "month", F.explode(F.array(*texts)).alias("value"))
-    lines.write.partitionBy("year", "month").text(folder)
+    lines = _trade_documents(spark, sf_dir).select("of_year", "of_month", F.to_json(F.struct("data")).alias("value"))
+    lines.withColumnsRenamed({"of_year": "year", "of_month": "month"}).write.partitionBy("year", "month").text(folder)
+    one = spark.read.text(folder).groupBy("year", "month").agg(F.min("value").alias("value"))
+    broken = (
+        F.substring("value", F.lit(1), (F.length("value") / 2).cast("int")),
+        F.regexp_replace("value", '"list":', '"note":'),
+        F.regexp_replace("value", '"f([0-9]+)":', '"other$1":'),
+    )
+    lines = one.select("year", "month", F.explode(F.array(*broken)).alias("value"))
+    lines.write.partitionBy("year", "month").mode("append").text(folder)
     rejects = read_payload_rejects(spark, f"{folder}/*/*", PAYLOAD_NAMES)
     of = lambda key: F.regexp_extract("file", f"{key}=([0-9]+)", 1).cast("int").alias(key)
     return rejects.select(of("year"), of("month"), "reason")
