@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.llm import (
-    byte_bpe, chat, html_text, language, line_dedup, mixing, near_dedup, quality, token_counts, topk,
+    byte_bpe, chat, html_text, language, lexical, line_dedup, mixing, near_dedup, quality, token_counts, topk,
 )
 from fareflow.llm.common import table
 from fareflow.llm.sql import SQL
@@ -67,6 +67,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {
     f.__name__: f
@@ -81,6 +85,7 @@ QUERIES: dict[str, Run] = {
         op8_top_k,
         op9_near_dedup,
         op10_line_dedup,
+        op11_lexical_search,
     )
 }
 

@@ -157,3 +157,37 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone)
     sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY rid
 """
+
+SQL["op11_lexical_search"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+),
+sizes AS (SELECT count(*) FILTER (len(words) > 0) AS n_docs, sum(len(words))::HUGEINT AS n_words FROM d),
+i AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT item_id, min(text) AS text FROM benchmark GROUP BY item_id)
+),
+tf AS (
+    SELECT rid, doc_id, len(words) AS n, term, count(*) AS tf
+    FROM (SELECT rid, doc_id, words, unnest(words) AS term FROM d)
+    WHERE term IN (SELECT term FROM i) GROUP BY rid, doc_id, words, term
+),
+w AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM tf, sizes GROUP BY term, n_docs
+),
+parts AS (
+    SELECT rid, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_words))) AS part
+    FROM tf JOIN w USING (term), sizes
+),
+scores AS (SELECT item_id, rid, doc_id, sum(part)::BIGINT AS score FROM parts JOIN i USING (term) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+    FROM scores WHERE score > 0
+) WHERE rank <= 10
+"""

@@ -1,0 +1,111 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from fareflow.llm import lexical
+from tests.llm.brute import LONG, lower
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def terms(text):
+    return TERM.findall(lower(text or ""))
+
+
+def brute(docs, items, k=10):
+    """(item_id, rank) -> (doc_id, score); docs and items: rows of (id, text)."""
+    bags = [(i, Counter(terms(t))) for i, t in docs]
+    n_docs, n_words = sum(bool(b) for _, b in bags), sum(b.total() for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    texts = {}
+    for i, t in items:
+        if t is not None:
+            texts[i] = min(texts.get(i, t), t, key=str.encode)
+    out = {}
+    for item, text in texts.items():
+        found = []
+        for i, bag in bags:
+            if not bag:
+                continue
+            m = 10 + 90 * bag.total() * n_docs // n_words
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * bag[t] // (1000 * bag[t] + 8 * m))
+                for t in set(terms(text)) & bag.keys()
+            )
+            if score:
+                found.append((-score, i is None, i, i))
+        found.sort(key=lambda x: (*x[:2], x[2] or 0))
+        out |= {(item, r): (x[3], -x[0]) for r, x in enumerate(found[:k], 1)}
+    return out
+
+
+def got(df):
+    return {(r.item_id, r.rank): (r.doc_id, r.score) for r in df.collect()}
+
+
+def corpus(seed=5, n=400):
+    pick = random.Random(seed)
+    words = [f"Wort{i}" if i % 3 else f"né{i}" for i in range(120)]
+    docs = []
+    for i in range(n):
+        text = pick.choice([" ", ", ", "\n", "_"]).join(pick.choices(words, k=pick.choice([1, 4, 30, 200])))
+        docs.append((i * 37 % 1009, text if pick.random() < 0.6 or not docs else pick.choice(docs)[1]))
+    items = [(j, "; ".join(pick.choices(words + ["nowhere"], k=pick.choice([1, 5, 12])))) for j in range(25)]
+    return docs, items
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [lexical.Settings(), lexical.Settings(block_bytes=300, cells=50), lexical.Settings(block_bytes=1)],
+    ids=["one block", "several blocks", "a block for each item"],
+)
+def test_against_brute_force(spark, settings):
+    docs, items = corpus()
+    if settings.block_bytes == 1:
+        items = items[:3]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    found = lexical.search(df, spark.createDataFrame(items, "item_id long, text string"), settings)
+    assert got(found) == brute(docs, items)
+
+
+def test_copies_are_one_class_and_ranked_by_id(spark):
+    """Two thirds of the rows are copies, in other case and punctuation: ties go by doc_id."""
+    docs = [(1000 - i, "Alpha beta!" if i % 3 else f"alpha  BETA gamma{i}") for i in range(900)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(9)
+    items = [(1, "beta, alpha"), (2, "gamma3 alpha"), (3, "delta")]
+    found = got(lexical.search(df, spark.createDataFrame(items, "item_id long, text string")))
+    assert found == brute(docs, items)
+    rows = lexical.bags(df, {b"alpha": 0, b"beta": 1}).collect()
+    assert len({(r.n, bytes(r.bag)) for r in rows}) == 2
+    kept = lexical.classes(lexical.bags(df, {b"alpha": 0, b"beta": 1}), 900, 2100, 10).collect()
+    assert sorted(len(r.ids) for r in kept) == [10, 10]
+
+
+def test_odd_rows(spark, odd, none):
+    items = [(1, "One two LONG word1"), (1, "Three"), (None, "trois"), (2, None), (3, ""), (4, "é 123"), (5, "absent")]
+    questions = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS rank", "2 AS score", "3 AS n")
+    docs = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    assert got(lexical.search(odd, questions)) == brute(docs, items)
+    assert lexical.search(none, questions).isEmpty()
+    assert lexical.search(odd, questions.limit(0)).isEmpty()
+    assert lexical.search(odd, questions.filter("text IS NULL")).isEmpty()
+    assert lexical.search(odd, questions).columns == ["item_id", "rank", "doc_id", "score"]
+
+
+def test_long_texts_are_read_in_pieces():
+    text = LONG * 8 + "x" * 3_000_000 + " Tail"
+    parts = list(lexical.terms(text))
+    assert len(parts) > 3
+    assert [t.decode() for p in parts for t in p if t] == terms(text)
+
+
+def test_scores_beyond_doubles_are_exact():
+    """Sums from 2**53 on are kept in whole numbers, as the sums below are."""
+    best = lexical.Best(1, 2)
+    import numpy as np
+
+    best.add(np.array([[2**60 + 1], [2**60 + 2], [2**60]]), [[{"none": False, "id": i}] for i in (5, 6, 7)])
+    assert [(s, d) for _, s, d in best.rows()] == [(2**60 + 2, 6), (2**60 + 1, 5)]
