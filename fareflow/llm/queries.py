@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.llm import (
-    byte_bpe, chat, html_text, language, lexical, line_dedup, mixing, near_dedup, quality, token_counts, topk,
+    alignment, byte_bpe, chat, html_text, language, lexical, line_dedup, mixing, near_dedup, neighbours, quality,
+    token_counts, topk,
 )
 from fareflow.llm.common import table
 from fareflow.llm.sql import SQL
 from fareflow.session import new_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -71,6 +73,14 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN, PIECE_BPE)
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {
     f.__name__: f
@@ -86,6 +96,8 @@ QUERIES: dict[str, Run] = {
         op9_near_dedup,
         op10_line_dedup,
         op11_lexical_search,
+        op12_alignment,
+        op13_neighbours,
     )
 }
 

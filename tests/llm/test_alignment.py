@@ -1,0 +1,138 @@
+import hashlib
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from fareflow.llm import alignment
+from fareflow.llm.queries import BYTE_BPE, PIECE_BPE
+from tests.llm.brute import documents
+
+LIBRARY_A = Tokenizer.from_file(BYTE_BPE)
+LIBRARY_A.encode_special_tokens = True
+LIBRARY_B = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+PLAIN = {chr(b): b for b in range(256) if chr(b).isprintable() and b != 32}
+
+
+def bytes_a(i):
+    letters = PLAIN | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in PLAIN.values())}
+    return bytes(letters[c] for c in LIBRARY_A.id_to_token(i))
+
+
+def bytes_b(i):
+    piece = LIBRARY_B.id_to_piece(i)
+    return bytes([int(piece[3:5], 16)]) if LIBRARY_B.is_byte(i) else piece.replace("▁", " ").encode()
+
+
+def spans(ids, piece):
+    at, out = 0, []
+    for i in ids:
+        out.append((at, at + len(piece(i)), i))
+        at = out[-1][1]
+    return out
+
+
+def brute(rows):
+    """Rows (id, text) to the columns of the result, by comparing all spans of a document."""
+    each = []
+    for i, text in rows:
+        a = LIBRARY_A.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = LIBRARY_B.encode(text) if text else []
+        whole = (" " + text).encode() if text else None
+        if b"".join(map(bytes_a, a)) != whole or b"".join(map(bytes_b, b)) != whole:
+            each.append((i, [], [], "", 0, []))
+            continue
+        a, b = spans(a, bytes_a), spans(b, bytes_b)
+        links = [(x[2], y[2]) for x in a for y in b if x[0] < y[1] and y[0] < x[1]]
+        cuts = sorted({x[1] for x in a} & {y[1] for y in b})
+        groups = []
+        for start, end in zip([0, *cuts], cuts):
+            one = [",".join(str(x[2]) for x in side if start <= x[0] < end) for side in (a, b)]
+            groups.append("|".join(one))
+        each.append((i, a, b, ";".join(groups), len(groups), links))
+    counts = Counter(p for *_, links in each for p in set(links))
+    most = Counter()
+    for (a, _), n in counts.items():
+        most[a] = max(most[a], n)
+    return Counter(
+        (i, len(a), len(b), n, len(links), sum(counts[p] == most[p[0]] for p in links), sum(counts[p] for p in links),
+         hashlib.sha256(groups.encode()).hexdigest() if groups else "")
+        for i, a, b, groups, n, links in each
+    )
+
+
+def texts():
+    pick = random.Random(6)
+    hard = [
+        "\n\n  two  spaces\tand\r\nlines  ", "</s> <|endoftext|> <0x41> [INST]", "ünïcödé 你好世界 😀😀 á", " ", "  ", "\n", "x",
+        "a▁b", "▁", "\x00\x01", "don't 12345 !!!???", "e f　g  h", "tail ", "a" * 300, "ab" * 400 + " " * 90,
+        ";\r\n};\r\n", "� \U0010ffff",
+    ]
+    rows = [(i, " ".join(pick.choices(hard, k=3))) for i in range(60)] + [(100 + i, t) for i, t in enumerate(hard)]
+    return rows + [(i, t and t[:400]) for i, t in documents(80)] + [(7, "the same"), (7, "the same"), (None, "no id"), (8, None)]
+
+
+def got(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def run(df, **more):
+    return alignment.alignments(df, BYTE_BPE, public_tokenizers.PATTERN, PIECE_BPE, **more)
+
+
+def test_against_brute_force(spark, monkeypatch):
+    rows = texts()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(run(df)) == brute(rows)
+
+
+def test_the_dictionary_of_pairs(spark):
+    df = spark.createDataFrame([(1, "the cat"), (2, "the dog"), (3, "the the the")], "doc_id long, text string")
+    pairs = alignment.pair_counts(df, BYTE_BPE, public_tokenizers.PATTERN, PIECE_BPE).collect()
+    the = LIBRARY_A.encode(" the").ids[0], LIBRARY_B.encode("the")[0]
+    assert [(r.n_docs, r.best) for r in pairs if (r.a, r.b) == the] == [(3, True)]
+    assert max(r.n_docs for r in pairs) == 3
+
+
+def test_odd_rows(spark, odd, none):
+    rows = [(r.doc_id, r.text and r.text[:3000]) for r in odd.select("doc_id", "text").collect()]
+    cut = odd.withColumn("text", odd["text"].substr(1, 3000))
+    assert got(run(cut)) == brute(rows)
+    assert run(odd).count() == odd.count()
+    assert run(none).count() == 0
+    nothing = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert got(run(nothing)) == Counter({(1, 0, 0, 0, 0, 0, 0, ""): 1, (2, 0, 0, 0, 0, 0, 0, ""): 1})
+    with_groups = run(nothing.selectExpr("doc_id", "'the cat' AS text"), groups=True).first()
+    assert hashlib.sha256(with_groups.groups.encode()).hexdigest() == with_groups.groups_sha256
+
+
+def test_blocks_of_one_text_and_forgetting_windows(monkeypatch):
+    """The figures of a document do not depend on what the process has seen before."""
+    rows = [t for _, t in texts() if t]
+    engine = alignment.Aligner(BYTE_BPE, public_tokenizers.PATTERN, PIECE_BPE)
+    whole = alignment.Block(engine, rows, True)
+    monkeypatch.setattr(alignment, "MEMO", 5)
+    for i, text in enumerate(rows):
+        engine.forget()
+        one = alignment.Block(engine, [text], True)
+        assert one.groups[0] == whole.groups[i]
+        assert (one.n_links[0], one.n_groups[0]) == (whole.n_links[i], whole.n_groups[i])
+
+
+@pytest.mark.parametrize("n_pairs", [300, 70_000])
+def test_packed_counts_come_back(n_pairs):
+    import numpy as np
+
+    place = np.array([0, 1, 7, n_pairs - 1])
+    times = np.array([1, 255, 256, 100_000])
+    more, often = alignment.unpack(alignment.pack(place, times, n_pairs), n_pairs)
+    assert {int(p): int(often[more == p].astype(np.int64).sum()) for p in place} == dict(zip(place.tolist(), times.tolist()))
+
+
+def test_ids_are_those_of_the_library_for_long_runs():
+    engine = alignment.ByteLevel(BYTE_BPE, public_tokenizers.PATTERN)
+    for text in (" " * 50_000 + "x", "\n" * 50_000, "a" * 20_000, "!" * 20_000, " <|endoftext|>" * 1000):
+        assert engine.encode(text) == LIBRARY_A.encode(text, add_special_tokens=False).ids
