@@ -16,6 +16,7 @@ from fareflow.plans.trips import both_feeds
 from fareflow.schemas import FOR_HIRE, TRADE_PAYLOAD, YELLOW_FEED, ZONES, fields
 from fareflow.session import new_folder, new_table
 from fareflow.sinks import files, tables
+from fareflow.sinks.manifest import read_manifest
 from fareflow.sources import files as sources
 from fareflow.sources.payload import payload_rejects as read_payload_rejects
 from fareflow.sources.payload import read_trade_payload
@@ -337,6 +338,27 @@ def load_with_strays(spark, sf_dir):
     return _by_month(sources.read_parquet(spark, folder))
 
 
+@query(
+    S.with_(S.TRIPS)
+    + """, loads AS (SELECT date_trunc('month', pickup_datetime) AS month,
+                CASE WHEN pickup_datetime < TIMESTAMP '1997-01-01' THEN 'early' ELSE 'late' END AS load FROM trips)
+         SELECT load, count(DISTINCT month) + bool_or(month IS NULL)::INTEGER AS folders FROM loads
+         WHERE load = 'early' OR month IS NULL OR month < TIMESTAMP '1998-01-01' GROUP BY 1"""
+)
+def load_folders(spark, sf_dir):
+    """The folders of each load by the manifest, the late one run again without its last months."""
+    name, path = new_table("folders"), new_folder(spark, "folders")
+    rows = B.trips(spark, sf_dir, "pickup_datetime", "fare_amount")
+    rows = rows.withColumn(PICKUP_MONTH.column, PICKUP_MONTH.of("pickup_datetime"))
+    tables.create_load_table(rows, name, [PICKUP_MONTH.column], path)
+    since = lambda day: F.coalesce(F.col("pickup_datetime") >= F.lit(day).cast("timestamp_ntz"), F.lit(True))
+    late = since("1997-01-01")
+    shorter = late & (F.col("pickup_datetime").isNull() | ~since("1998-01-01"))
+    for load, part in (("early", ~late), ("late", late), ("late", shorter)):
+        tables.load_table(rows.filter(part), name, [PICKUP_MONTH.column], load)
+    return read_manifest(spark, path).groupBy("load").agg(F.count(F.lit(1)).alias("folders"))
+
+
 VENDOR_COLUMNS = (
     "VendorID", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
     "PULocationID", "DOLocationID", "fare_amount", "tip_amount", "total_amount",

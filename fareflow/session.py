@@ -109,6 +109,27 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file on any store Spark reads; it is there whole or not at all."""
+    target, part = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, f"{path}.part"))
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = store.create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not store.rename(part, target):
+        raise OSError(f"{path} cannot be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of any store Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def set_age(spark: SparkSession, path: str, days: int) -> None:
     """Gives a file a modification time that long ago, as one that was copied late has."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from fareflow.session import folders, remove_folder
-
-# Fixed value: the folder of rows without a partition value.
-EMPTY = "__HIVE_DEFAULT_PARTITION__"
+from fareflow.session import remove_folder
+from fareflow.sinks.manifest import LOAD, Change, Manifest, folder_name
 
 
 def write_parquet(
@@ -59,37 +56,38 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], sort_by: Sequ
     spread_for(df, by, sort_by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-#: The partition column that says which load wrote a row.
-LOAD = "load"
-
-
-def write_load(df: DataFrame, path: str, by: Sequence[str], load: str, sort_by: Sequence[str] = ()) -> None:
+def write_load(df: DataFrame, path: str, by: Sequence[str], load: str, sort_by: Sequence[str] = ()) -> Change:
     """The rows of one load, in a folder per value of ``by`` and below it one of the load.
 
     A load replaces what it wrote itself, and nothing else: rows that fall on another load's dates
     stand beside that load's, and running a load again, corrected or not, leaves each of its
     rows once. The write replaces folders when it commits; a load cut short left the path as it was,
     but for folders that a corrected load no longer has, which go after the commit.
+
+    The folders written are noted by the tasks that write them, and those of the last time are in the
+    load's :class:`Manifest`: the input is read once, and the price does not grow with the table. One
+    run of a load at a time.
     """
     spark = df.sparkSession
-    pattern = "/".join([path, *["*"] * len(by), f"{LOAD}={quote(load, safe=' ')}"])
-    before = folders(spark, pattern)
+    manifest = Manifest(spark, path, load)
+    before = manifest.begin(len(by))
+    noted = Observation()
+    values = F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(by)])
+    # Observed where rows of a folder are together already, so that a task notes few of them.
+    rows = spread_for(df, by, sort_by).observe(noted, F.collect_set(values).alias("folders"))
     (
-        spread_for(df, by, sort_by)
-        .withColumn(LOAD, F.lit(load))
+        rows.withColumn(LOAD, F.lit(load))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by, LOAD)
         .parquet(path)
     )
-    if before:
-        # One row per folder of the load.
-        rows = df.select(*[F.col(c).cast("string") for c in by]).distinct().collect()
-        values = {tuple(EMPTY if v in (None, "") else v for v in row) for row in rows}
-        for folder in before:
-            parts = folder.split("/")[-1 - len(by) : -1]
-            if tuple(unquote(part.partition("=")[2]) for part in parts) not in values:
-                remove_folder(spark, folder)
+    after = frozenset(folder_name({**dict(zip(by, row)), LOAD: load}) for row in noted.get["folders"])
+    change = Change(before, after)
+    for folder in change.removed:
+        remove_folder(spark, f"{path}/{folder}")
+    manifest.end(after)
+    return change
 
 
 def write_jdbc(

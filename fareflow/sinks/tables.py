@@ -9,15 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions.moments import days_between, month_date
-from fareflow.sinks.files import LOAD, spread_for, write_load
+from fareflow.sinks.files import spread_for, write_load
+from fareflow.sinks.manifest import EMPTY, LOAD
 
 
 _BUCKET = "_bucket"
+#: Partitions that one statement adds or drops.
+PARTITIONS_A_STATEMENT = 500
 
 
 @dataclass(frozen=True)
@@ -83,16 +87,32 @@ def load_table(df: DataFrame, name: str, by: Sequence[str], load: str) -> DataFr
     """Loads rows into a table of :func:`create_load_table`, replacing what the same load wrote before.
 
     Rows of other loads stay, on whatever dates they fall; see :func:`write_load`. Columns go by name.
+    The catalog learns of the folders that came and went, and of nothing else.
     """
     spark = df.sparkSession
     described = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()
     rows = df.select(*[c for c in spark.table(name).columns if c != LOAD])
-    write_load(rows, described["data_type"], by, load)
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    change = write_load(rows, described["data_type"], by, load)
+    for verb, folders in (("ADD IF NOT EXISTS", change.added), ("DROP IF EXISTS", change.removed)):
+        joint = " " if verb.startswith("ADD") else ", "
+        for at in range(0, len(folders), PARTITIONS_A_STATEMENT):
+            some = joint.join(partition_clause(x) for x in folders[at : at + PARTITIONS_A_STATEMENT])
+            spark.sql(f"ALTER TABLE {name} {verb} {some}")
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
+def partition_clause(folder: str) -> str:
+    """A partition folder (``year=2019/load=a``) as SQL names the partition."""
+    parts = (unquote(part).partition("=") for part in folder.split("/"))
+    values = ((column, "NULL" if value == EMPTY else _literal(value)) for column, _, value in parts)
+    return f"PARTITION ({', '.join(f'`{column}` = {value}' for column, value in values)})"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_partitioned(
     df: DataFrame, name: str, by: Sequence[str], path: str | None = None
 ) -> DataFrame:
