@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +10,7 @@ from pyspark.sql import types as T
 
 from fareflow.operators.cleaning import conform
 from fareflow.schemas import FeedSpec
-
-
-FOOTER_THREADS = 16
+from fareflow.sources import census
 
 
 def read_csv(
@@ -66,35 +63,48 @@ def read_feed(spark: SparkSession, paths: str | Sequence[str], feed: FeedSpec) -
     """A trip feed's files of any months under the feed's schema.
 
     Months differ in the types of some columns (a count may be a whole number in one and a double in
-    the next), which no imposed schema can read. Files are therefore grouped by their own schema, each
-    group is read and cast, and the groups are united. Footers are read once per file, by threads
-    of the driver; a group is one scan. A value that does not fit its type is an error.
+    the next). Tasks read the footers (:mod:`~fareflow.sources.census`); files whose types a scan can widen
+    to common ones are one scan, whatever their number, others are read apart and all are cast and
+    united. A value that does not fit its type is an error.
     """
-    return unite_groups(spark, schema_groups(spark, paths), feed.schema)
+    found = census.footers(spark, paths).cache()
+    try:
+        together = census.scans(census.census(spark, found))
+        if len(together) == 1:
+            groups = [[paths] if isinstance(paths, str) else list(paths)]
+        else:
+            groups = census.places(found, [[kind.digest for kind in kinds] for _, kinds in together])
+    finally:
+        found.unpersist()
+    rows = spark.createDataFrame([], feed.schema)
+    for (schema, _), group in zip(together, groups):
+        rows = rows.unionAll(_under(read_parquet(spark, group, schema), feed.schema))
+    return rows
 
 
 def schema_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[list[str]]:
-    """The Parquet files behind some paths, in groups of equal schema."""
-    listed = read_parquet(spark, paths, T.StructType([])).inputFiles()
-    with ThreadPoolExecutor(FOOTER_THREADS) as threads:
-        schemas = list(threads.map(lambda path: spark.read.parquet(path).schema, listed))
-    groups: dict[str, list[str]] = {}
-    for path, schema in zip(listed, schemas):
-        groups.setdefault(schema.json(), []).append(path)
-    return list(groups.values())
+    """The Parquet files behind some paths, in groups of equal schema: folders where all files agree."""
+    found = census.footers(spark, paths).cache()
+    try:
+        return census.places(found, [[kind.digest] for kind in census.census(spark, found)])
+    finally:
+        found.unpersist()
 
 
 def unite_groups(spark: SparkSession, groups: Iterable[Sequence[str]], schema: T.StructType) -> DataFrame:
     """Groups of files of one schema each, cast to ``schema``; a column a group lacks is null."""
     rows = spark.createDataFrame([], schema)
     for group in groups:
-        found = spark.read.parquet(*group)
-        lacking = [field for field in schema if field.name.lower() not in map(str.lower, found.columns)]
-        found = found.withColumns({field.name: F.lit(None).cast(field.dataType) for field in lacking})
-        rows = rows.unionAll(conform(found, schema, strict=True))
+        rows = rows.unionAll(_under(spark.read.parquet(*group), schema))
     return rows
 
 
+def _under(found: DataFrame, schema: T.StructType) -> DataFrame:
+    lacking = [field for field in schema if field.name.lower() not in map(str.lower, found.columns)]
+    found = found.withColumns({field.name: F.lit(None).cast(field.dataType) for field in lacking})
+    return conform(found, schema, strict=True)
+
+
 def read_conformed(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, strict: bool = True
 ) -> DataFrame:
