@@ -32,9 +32,8 @@ from tokenizers import Tokenizer
 from fareflow.llm.common import emit, slices, struct, written
 
 #: Windows whose alignment a task's process remembers, and the most ids of one that is remembered.
-MEMO, MEMO_IDS = 200_000, 32
+MEMO, MEMO_IDS = 250_000, 32
 SPACE_PIECE = "▁"
-ID = np.dtype("<u4")
 
 
 @dataclass
@@ -44,7 +43,8 @@ class Side:
     pieces: list[bytes]
 
     def __post_init__(self):
-        self.size = np.array([len(x) for x in self.pieces], np.int64)
+        self.sizes = [len(x) for x in self.pieces]
+        self.size = np.array(self.sizes, np.int64)
         self.marked = np.array([x.startswith(b" ") for x in self.pieces], bool)
 
 
@@ -108,79 +108,115 @@ class Pieces:
         return self.library.encode(text, num_threads=1)
 
 
-def align(a: list[int], b: list[int], size_a: np.ndarray, size_b: np.ndarray) -> tuple[str, list[int], int]:
-    """The groups as text, the links (a << 32 | b) in order, and the number of groups of one window."""
-    links, groups = [], []
-    i = j = from_i = from_j = 0
-    end_a, end_b = size_a[a[0]], size_b[b[0]]
-    while True:
-        links.append(a[i] << 32 | b[j])
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-            if i == len(a):
-                return ";".join(groups), links, len(groups)
-            from_i, from_j = i, j
-            end_a += size_a[a[i]]
-            end_b += size_b[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += size_a[a[i]]
-        else:
-            j += 1
-            end_b += size_b[b[j]]
-
-
 def starts_of(ids: np.ndarray, side: Side) -> np.ndarray:
     """The byte at which each token starts."""
     size = side.size[ids]
     return np.cumsum(size) - size
 
 
+def common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The values in both of two sorted arrays, each without repeats."""
+    at = np.searchsorted(y, x).clip(max=max(len(y) - 1, 0))
+    return x[y[at] == x] if len(y) else x[:0]
+
+
+def spread(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... for each of several runs."""
+    return np.arange(many.sum()) + np.repeat(first - np.cumsum(many) + many, many)
+
+
 class Aligner:
     """Encodes and aligns texts; remembers windows by their ids."""
 
     def __init__(self, path_a: str, pattern: str, path_b: str):
         self.a, self.b = ByteLevel(path_a, pattern), Pieces(path_b)
-        self.memo: dict[tuple[bytes, bytes], int] = {}
-        self.known: list[tuple[str, list[int], int]] = []
+        # Ids of both sides in one width, with a value beyond them all to stand between the sides.
+        most = max(len(self.a.side.pieces), len(self.b.side.pieces))
+        self.kind = np.dtype("u2" if most < 2**16 else "u4")
+        self.between = np.iinfo(self.kind).max
+        self.memo: dict[bytes, int] = {}
+        self.known: list[tuple[str, bytes, int]] = []
+        # The text of an id with what follows it: inside a group's side, at the end of the first, of the second.
+        a, b = range(len(self.a.side.pieces)), range(len(self.b.side.pieces))
+        self.names = [f"{i}{mark}" for ids, marks in ((a, ",|"), (b, ",;")) for mark in marks for i in ids]
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of both; none if one of them does not give back the text with a space before it."""
         if text:
-            a, b, whole = self.a.encode(" " + text), self.b.encode(text), (" " + text).encode("utf-8")
-            if b"".join(map(self.a.side.pieces.__getitem__, a)) == whole:
-                if b"".join(map(self.b.side.pieces.__getitem__, b)) == whole:
-                    return np.array(a, ID), np.array(b, ID)
-        return np.empty(0, ID), np.empty(0, ID)
-
-    def windows(self, a: np.ndarray, b: np.ndarray) -> list[int]:
-        """The numbers (in ``known``) of the windows of one document, in order."""
+            whole = (" " + text).encode("utf-8")
+            b = self.b.encode(text)
+            if b"".join(map(self.b.side.pieces.__getitem__, b)) == whole:
+                a = self.a.encode(" " + text)
+                if b"".join(map(self.a.side.pieces.__getitem__, a)) == whole:
+                    return np.array(a, self.kind), np.array(b, self.kind)
+        return np.empty(0, self.kind), np.empty(0, self.kind)
+
+    def windows(self, each: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """The windows of some documents in order, by their numbers in ``known``, and how many each has."""
+        a, b = (np.concatenate([x[side] for x in each]) for side in (0, 1))
         if not len(a):
-            return []
+            return np.empty(0, np.int64), np.zeros(len(each), np.int64)
+        # Both sides of a document have the same bytes, so places in the documents' joined bytes agree.
         at_a, at_b = starts_of(a, self.a.side), starts_of(b, self.b.side)
-        anchors = np.intersect1d(at_a[self.a.side.marked[a]], at_b[self.b.side.marked[b]], assume_unique=True)
-        # The first byte is a start of both, marked or not.
-        anchors = anchors if len(anchors) and anchors[0] == 0 else np.concatenate([[0], anchors])
-        cut_a = (np.append(np.searchsorted(at_a, anchors), len(a)) * ID.itemsize).tolist()
-        cut_b = (np.append(np.searchsorted(at_b, anchors), len(b)) * ID.itemsize).tolist()
-        data_a, data_b, memo = a.tobytes(), b.tobytes(), self.memo
-        out = []
-        for i, i_end, j, j_end in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]):
-            key = (data_a[i:i_end], data_b[j:j_end])
-            number = memo.get(key)
-            if number is None:
-                number = self._learn(key)
-            out.append(number)
-        return out
-
-    def _learn(self, key: tuple[bytes, bytes]) -> int:
-        a, b = np.frombuffer(key[0], ID), np.frombuffer(key[1], ID)
-        side_a, side_b = self.a.side.size, self.b.side.size
-        self.known.append(align(a.tolist(), b.tolist(), side_a, side_b))
-        if len(a) + len(b) <= MEMO_IDS:
-            self.memo[key] = len(self.known) - 1
-        return len(self.known) - 1
+        first = at_a[np.cumsum([0] + [len(x) for x, _ in each if len(x)])[:-1]]
+        anchors = common(at_a[self.a.side.marked[a]], at_b[self.b.side.marked[b]])
+        # The first byte of a document is a start of both, marked or not.
+        anchors = np.union1d(anchors, first)
+        cut_a, cut_b = np.searchsorted(at_a, anchors), np.searchsorted(at_b, anchors)
+        # All windows in a row: the ids of one side, the mark, the ids of the other.
+        window = np.arange(len(anchors))
+        many_a, many_b = np.diff(cut_a, append=len(a)), np.diff(cut_b, append=len(b))
+        row = np.full(len(a) + len(b) + len(anchors), self.between, self.kind)
+        row[np.arange(len(a)) + np.repeat(cut_b + window, many_a)] = a
+        row[np.arange(len(b)) + np.repeat(cut_a + many_a + window + 1, many_b)] = b
+        data = row.tobytes()
+        cuts = ((cut_a + cut_b + window) * self.kind.itemsize).tolist()
+        keys = [data[i:j] for i, j in zip(cuts, [*cuts[1:], len(data)])]
+        numbers = list(map(self.memo.get, keys))
+        new = {key: i for i, key in enumerate(keys) if numbers[i] is None}
+        if new:
+            which = np.array(list(new.values()))
+            of_a, of_b = spread(cut_a[which], many_a[which]), spread(cut_b[which], many_b[which])
+            learnt = self._align(a[of_a], b[of_b], many_a[which], many_b[which])
+            number = dict(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.known += learnt
+            numbers = [number[key] if x is None else x for x, key in zip(numbers, keys)]
+            longest = (MEMO_IDS + 1) * self.kind.itemsize
+            self.memo.update((key, x) for key, x in number.items() if len(key) <= longest)
+        held = np.zeros(len(each), np.int64)
+        held[[len(x) > 0 for x, _ in each]] = np.diff(np.searchsorted(anchors, first), append=len(anchors))
+        return np.array(numbers, np.int64), held
+
+    def _align(
+        self, a: np.ndarray, b: np.ndarray, many_a: np.ndarray, many_b: np.ndarray
+    ) -> list[tuple[str, bytes, int]]:
+        """The groups as text, the links (a << 32 | b) in order and the number of groups of some windows.
+
+        The windows' ids stand one after another. Between one end of a token, of either side, and the next
+        lies a piece of exactly one token of each side: a link.
+        """
+        a, b = a.astype(np.int64), b.astype(np.int64)
+        end_a, end_b = np.cumsum(self.a.side.size[a]), np.cumsum(self.b.side.size[b])
+        ends, shared = np.union1d(end_a, end_b), common(end_a, end_b)
+        links = a[np.searchsorted(end_a, ends)] << 32 | b[np.searchsorted(end_b, ends)]
+        last = end_a[np.cumsum(many_a) - 1]
+        link_cuts = np.searchsorted(ends, last, "right").tolist()
+        groups = np.diff(np.searchsorted(shared, last, "right"), prepend=0).tolist()
+        # A group's ids of one side, then of the other: where each stands, and how its text ends.
+        of_a, of_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+        before = np.searchsorted(end_b, np.concatenate([[-1], shared]), "right")
+        upto = np.searchsorted(end_a, shared, "right")
+        n_a, n_b = len(self.a.side.pieces), len(self.b.side.pieces)
+        row = np.empty(len(a) + len(b), np.int64)
+        row[np.arange(len(a)) + before[of_a]] = a + n_a * (shared[of_a] == end_a)
+        row[np.arange(len(b)) + upto[of_b]] = b + 2 * n_a + n_b * (shared[of_b] == end_b)
+        text = list(map(self.names.__getitem__, row.tolist()))
+        text_cuts = np.cumsum(many_a + many_b).tolist()
+        texts = ["".join(text[i:j])[:-1] for i, j in zip([0, *text_cuts], text_cuts)]
+        data = links.tobytes()
+        # Strings and bytes only: the garbage collector passes over them.
+        each = [data[8 * i : 8 * j] for i, j in zip([0, *link_cuts], link_cuts)]
+        return list(zip(texts, each, groups))
 
     def forget(self) -> None:
         """To be called between blocks: numbers given before are then void."""
@@ -218,20 +254,21 @@ class Block:
 
     def __init__(self, engine: Aligner, texts: list[str | None], groups: bool):
         encoded = [engine.encode(t) for t in texts]
-        each = [engine.windows(a, b) for a, b in encoded]
         self.n_a, self.n_b = [len(a) for a, _ in encoded], [len(b) for _, b in encoded]
-        joined = [";".join([engine.known[w][0] for w in windows]) for windows in each]
+        windows, many = engine.windows(encoded)
+        each = [engine.known[w][0] for w in windows.tolist()]
+        ends = np.cumsum(many).tolist()
+        joined = [";".join(each[i:j]) for i, j in zip([0, *ends], ends)]
         self.sha = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in joined]
         self.groups = joined if groups else None
         # The windows of the block by number of their own, with their links.
-        many = [len(windows) for windows in each]
-        used, own = np.unique(np.array([w for windows in each for w in windows], np.int64), return_inverse=True)
+        used, own = np.unique(windows, return_inverse=True)
         known = [engine.known[w] for w in used.tolist()]
         doc = np.repeat(np.arange(len(texts)), many)
-        n_links = np.array([len(x) for _, x, _ in known], np.int64)
+        n_links = np.array([len(x) // 8 for _, x, _ in known], np.int64)
         self.n_groups = np.bincount(doc, np.array([n for _, _, n in known], np.int64)[own], len(texts)).astype(np.int64)
         self.n_links = np.bincount(doc, n_links[own], len(texts)).astype(np.int64)
-        links = np.array([x for _, some, _ in known for x in some], np.int64)
+        links = np.frombuffer(b"".join([x for _, x, _ in known]), np.int64)
         self.pairs, place = np.unique(links, return_inverse=True)
         # Each document's different windows with how often they occur, then its different pairs.
         window, often = np.unique(doc * max(len(used), 1) + own, return_counts=True)
