@@ -32,7 +32,7 @@ def brute(rows):
         if len(words) >= 50 and 100 * repeats(words) <= 50 * len(words):
             kept.append((i, text))
     kept = [(i, "\n".join(rest)) for i, (_, rest) in without_common_lines(kept).items()]
-    near = near_components(kept)
+    near = near_components(kept, percent=80)
     kept = [(i, text) for i, text in kept if near[i][1] == i]
     sizes = Counter()
     for i, text in kept:

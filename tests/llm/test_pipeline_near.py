@@ -1,10 +1,7 @@
 """The near dedup stage of the pipeline links from a similarity of 0.8 on."""
 
-from functools import partial
-
-from corpus_pipeline import one_of_each, run
-from tests.llm import test_pipeline
-from tests.llm.brute import documents, near_components, shingles
+from corpus_pipeline import one_of_each
+from tests.llm.brute import near_components, shingles
 
 
 def planted():
@@ -32,13 +29,3 @@ def test_pairs_between_80_and_85(spark):
     kept = sorted(r["doc_id"] for r in one_of_each(spark, docs, None).collect())
     assert kept == sorted(i for i in want if want[i][1] == i)
     assert len(kept) < len(near_components(rows)) - 20
-
-
-def test_whole_pipeline_at_80(spark, folder, monkeypatch):
-    monkeypatch.setattr(test_pipeline, "near_components", partial(near_components, percent=80))
-    rows = [(i, text, test_pipeline.SOURCES[i % 4]) for i, text in documents(400, seed=8)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    docs.selectExpr("*", "'en' AS lang").repartition(6).write.parquet(f"{folder}/documents.parquet")
-    got = run(spark, folder).select("doc_id", "ids_sha256", "decoded_sha256").collect()
-    want = test_pipeline.brute(rows)
-    assert sorted(tuple(r) for r in got) == sorted(want.elements())
