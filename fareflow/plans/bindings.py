@@ -266,7 +266,7 @@ def ride_messages(rows: DataFrame, clean: bool = True) -> DataFrame:
     """Events, batch or stream, as the ride topic of four partitions.
 
     Unless ``clean``, of every hundred values one is not JSON, the next lacks its amount, another has
-    text after the document, and another's amount is NaN.
+    text after the document, another's amount is NaN, and three close brackets they have not opened.
     """
     key, value = ride_columns(clean)
     messages = encode(
@@ -285,6 +285,9 @@ def ride_messages(rows: DataFrame, clean: bool = True) -> DataFrame:
         F.when(number == 0, F.lit("not json"))
         .when(number == 2, F.concat(value, F.lit(" trailing")))
         .when(number == 3, F.regexp_replace(value, r'"total_amount":[^,}]*', '"total_amount":NaN'))
+        .when(number == 4, F.concat(value, F.lit('],"z":[')))
+        .when(number == 5, F.concat(value, F.lit('],"end":true}')))
+        .when(number == 6, F.concat(value, F.lit('],"end":true} garbage')))
         .otherwise(value)
     )
     return messages.withColumn("value", broken)

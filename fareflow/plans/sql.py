@@ -84,7 +84,7 @@ RIDES = """rides AS (
            CAST(CAST(value / 10 AS FLOAT) AS DOUBLE) AS trip_distance,
            CAST(1 + event_id % 4 AS INTEGER) AS payment_type,
            value AS total_amount,
-           event_id % 100 NOT IN (0, 1, 2, 3) AS ok
+           event_id % 100 NOT IN (0, 1, 2, 3, 4, 5, 6) AS ok
     FROM events)"""
 
 

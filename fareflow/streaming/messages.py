@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -52,17 +53,22 @@ def decode(
     Text that is not JSON, a field of the wrong type and a field that is absent all parse to
     null, so a record is valid when every required field (by default all) is there. NaN and infinity
     are no JSON numbers, and text after the document makes it invalid: the value is parsed as the only
-    element of a list inside a document, which is read to its end. The raw value stays beside it. The parse sits in a
-    one-element explode, which the optimizer does not copy into every later use of a field: each
-    message is parsed once.
+    element of a list inside a document, which is read to its end. A value that closes the list itself
+    adds a key to that document or takes away its last, whose name it cannot know. The raw value stays
+    beside it. The parse sits in a one-element explode, which the optimizer does not copy into every
+    later use of a field: each message is parsed once.
     """
-    whole = F.concat(F.lit('{"record":['), F.col("value"), F.lit('],"end":true}'))
-    shape = T.StructType().add("record", T.ArrayType(schema)).add("end", "boolean")
+    end = uuid.uuid4().hex
+    whole = F.concat(F.lit('{"record":['), F.col("value"), F.lit(f'],"{end}":[]}}'))
+    shape = T.MapType(T.StringType(), T.ArrayType(schema))
     parsed = F.from_json(whole, shape, {"allowNonNumericNumbers": "false"})
-    only = F.transform(
-        F.array(parsed), lambda x: F.when(x["end"] & (F.size(x["record"]) == 1), F.get(x["record"], F.lit(0)))
-    )
-    parsed = messages.select("*", F.explode(only).alias("record"))
+
+    def only_record(found: Column) -> Column:
+        record = F.element_at(F.map_values(found), 1)
+        whole = F.map_keys(found) == F.array(F.lit("record"), F.lit(end))
+        return F.when(whole & (F.size(record) == 1), F.get(record, F.lit(0)))
+
+    parsed = messages.select("*", F.explode(F.transform(F.array(parsed), only_record)).alias("record"))
     names = schema.fieldNames() if required is None else required
     valid = F.lit(True)
     for name in names:

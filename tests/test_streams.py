@@ -28,7 +28,8 @@ VALUES = [
     ride(1, 40.0), ride(1, 39.99), ride(2, 400.0), ride(3, 0.0),
     "not json", "", None, ride(1, ...), ride(1, "much"), ride("x"), ride(1, None), "[1, 2]",
     ride(1) + " trailing", ride(1) + ride(2), ride(1) + "," + ride(2), ride(1, float("nan")), ride(1, float("inf")),
-    ride(1) + "]", "{}",
+    ride(1) + "]", "{}", ride(1) + '],"z":[', ride(1) + '],"end":true}', ride(1) + '],"end":true} garbage',
+    ride(1) + '],"record":[' + ride(2), ride(1) + "]} garbage", ride(1) + '],"end":[]}',
 ]
 GOOD = 4
 
