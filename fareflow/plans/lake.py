@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fareflow.functions import moments as M
 from fareflow.functions.money import exact_sum
-from fareflow.operators import cleaning, reports, revenue
+from fareflow.operators import cleaning, clustered, reports, revenue
 from fareflow.operators import trade as T
 from fareflow.plans import bindings as B
 from fareflow.plans import sql as S
@@ -470,6 +470,37 @@ def ctas_partitioned_clustered(spark, sf_dir):
     )
 
 
+@query(
+    S.with_(S.FHV)
+    + """, rides AS (SELECT CASE SR_Flag WHEN 'N' THEN 'B00001' ELSE dispatching_base_num END AS base,
+                            pickup_datetime, SR_Flag FROM fhv),
+         bases AS (SELECT base, min(pickup_datetime) AS first_pickup FROM rides GROUP BY 1)
+         SELECT CAST(date_trunc('month', first_pickup) AS DATE) AS cohort, SR_Flag, count(*) AS trips,
+                count(*) FILTER (pickup_datetime < first_pickup + INTERVAL 365 DAY) AS first_year
+         FROM rides JOIN bases USING (base) GROUP BY 1, 2"""
+)
+def clustered_join(spark, sf_dir):
+    """Trips by the month in which their base began, of tables in buckets of the base. One base has half the trips."""
+    base = F.when(F.col("SR_Flag") == "N", F.lit("B00001")).otherwise(F.col("dispatching_base_num"))
+    trips = B.fhv(spark, sf_dir, "dispatching_base_num", "pickup_datetime", "SR_Flag")
+    trips = trips.select(base.alias("base"), "pickup_datetime", "SR_Flag")
+    both = []
+    for label, make in (
+        ("rides", lambda: trips),
+        ("bases", lambda: both[0].rows(spark).groupBy("base").agg(F.min("pickup_datetime").alias("first_pickup"))),
+    ):
+        name, path = new_table(label), new_folder(spark, label)
+        both.append(clustered.create_clustered(make(), name, "base", BASE_BUCKETS, path=path, hot=new_table("hot")))
+    joined = clustered.join_clustered(spark, *both)
+    year = F.col("pickup_datetime") < F.col("first_pickup") + F.expr("INTERVAL 365 DAYS")
+    return joined.groupBy(M.month_date("first_pickup").alias("cohort"), "SR_Flag").agg(
+        F.count(F.lit(1)).alias("trips"), F.count_if(year).alias("first_year")
+    )
+
+
+BASE_BUCKETS = 16
+
+
 @query(
     S.with_(S.FHV)
     + """SELECT dispatching_base_num, pickup_datetime, dropoff_datetime, Affiliated_base_number FROM fhv
