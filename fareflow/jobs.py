@@ -9,6 +9,7 @@
     monthly-layout   --feed green|yellow|fhv|hvfhv --input PATH --output PATH --load NAME
     load-trade       --input JSON --fields NAME,... --flow exports|imports --output PATH --load NAME [--multiline]
     trade-balance    --input PATH --output PATH
+    load-arrivals    --feed green|yellow|fhv|hvfhv --input PATH --checkpoint PATH --output PATH
     route-rides      --input TOPIC_FOLDER --checkpoint PATH --output PATH
     count-vendors    --input TOPIC_FOLDER --checkpoint PATH --output PATH
 """
@@ -28,7 +29,7 @@ from fareflow.sinks import files, tables
 from fareflow.sources import files as sources
 from fareflow.sources.payload import read_trade_payload
 from fareflow.sources.topics import read_recorded_topic
-from fareflow.streaming import counts, messages, routing, runner
+from fareflow.streaming import counts, loader, messages, routing, runner
 
 FEEDS = {feed.service: feed for feed in (schemas.GREEN_FEED, schemas.YELLOW_FEED)}
 ALL_FEEDS = FEEDS | {feed.service: feed for feed in (schemas.FOR_HIRE_FEED, schemas.HIGH_VOLUME_FEED)}
@@ -107,6 +108,14 @@ def load_trade(
     files.write_load(dated, output, ["flow", "trade_date"], load)
 
 
+def load_arrivals(spark: SparkSession, feed: str, input: str, checkpoint: str, output: str) -> None:
+    """Files of a feed that have come since the last run, into the table of all, by year and month of pickup.
+
+    Every file is loaded once, however late it comes.
+    """
+    loader.load_feed_arrivals(spark, ALL_FEEDS[feed], input, output, checkpoint)
+
+
 def trade_balance(spark: SparkSession, input: str, output: str) -> None:
     """Exports, imports and their difference by year, from a table of load-trade."""
     files.write_report(trade.trade_balance(sources.read_parquet(spark, input)), output)
@@ -131,6 +140,7 @@ JOBS = {
     "load-table": (load_table, ("feed", "input", "output", "load")),
     "monthly-layout": (monthly_layout, ("feed", "input", "output", "load")),
     "load-trade": (load_trade, ("input", "fields", "flow", "output", "load")),
+    "load-arrivals": (load_arrivals, ("feed", "input", "checkpoint", "output")),
     "trade-balance": (trade_balance, ("input", "output")),
     "route-rides": (route_rides, ("input", "checkpoint", "output")),
     "count-vendors": (count_vendors, ("input", "checkpoint", "output")),

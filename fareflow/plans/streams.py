@@ -9,10 +9,11 @@ from fareflow.functions.money import exact_sum
 from fareflow.plans import bindings as B
 from fareflow.plans import sql as S
 from fareflow.plans.registry import query
-from fareflow.schemas import ENVELOPE, YELLOW
+from fareflow.schemas import ENVELOPE, YELLOW, YELLOW_FEED
 from fareflow.session import folders, new_folder, own_session, set_age
 from fareflow.sources.topics import read_file_stream, read_recorded_topic
 from fareflow.streaming import counts, messages, routing, runner
+from fareflow.streaming.loader import load_feed_arrivals
 
 # The state of a count is one number per vendor: a few parts hold it.
 STATE_PARTITIONS = 8
@@ -172,3 +173,31 @@ def stream_encode_keyed(spark, sf_dir):
     stored = _run(spark, messages.encode_recorded_rides(recorded), "encoded")
     record = F.from_json("value", messages.RIDE_MESSAGE)
     return _plain(stored.select("key", record.alias("r")).select("key", "r.*"))
+
+
+@query(
+    S.with_(S.TRIPS)
+    + f"""SELECT CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month,
+                 count(*) AS trips, {S.money('fare_amount')} AS fares, CAST(sum(payment_type) AS BIGINT) AS payments
+          FROM trips WHERE service_type = 'yellow' GROUP BY 1, 2"""
+)
+def load_arrivals(spark, sf_dir):
+    """Yellow trips in files that arrive twice, in two types, one of them late; then nothing comes."""
+    folder = new_folder(spark, "arrivals")
+    columns = ("VendorID", "pickup_datetime", "passenger_count", "trip_distance", "fare_amount", "payment_type")
+    trips = B.yellow_feed(spark, sf_dir, *columns)
+    vendor = F.col("VendorID") % 3
+    first, second, late = (trips.filter(vendor == i) for i in range(3))
+    second = second.withColumn("payment_type", F.col("payment_type").cast("int"))
+    second = second.withColumn("passenger_count", F.col("passenger_count").cast("long"))
+    for arrived, days in ((first, 0), (second, 0), (late, 365), (None, 0)):
+        known = set(folders(spark, f"{folder}/raw/*.parquet"))
+        if arrived is not None:
+            arrived.write.mode("append").parquet(f"{folder}/raw")
+        for path in set(folders(spark, f"{folder}/raw/*.parquet")) - known if days else ():
+            set_age(spark, path, days=days)
+        load_feed_arrivals(spark, YELLOW_FEED, f"{folder}/raw", f"{folder}/out", f"{folder}/checkpoint")
+    loaded = spark.read.parquet(f"{folder}/out")
+    return loaded.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("trips"), exact_sum("fare_amount").alias("fares"), F.sum("payment_type").alias("payments")
+    )

@@ -51,12 +51,13 @@ def write_changes(stream: DataFrame, path: str, checkpoint: str) -> None:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    _until_used_up(stream, checkpoint, write)
+    until_used_up(stream, checkpoint, write)
 
 
-def _until_used_up(stream: DataFrame, checkpoint: str, write) -> None:
+def until_used_up(stream: DataFrame, checkpoint: str, write, mode: str = "update") -> None:
+    """``write(batch, batch_id)`` for every batch until nothing is left."""
     query = (
-        stream.writeStream.outputMode("update")
+        stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
@@ -82,7 +83,7 @@ def write_current(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[
         for old in before[:-1]:
             remove_folder(spark, f"{path}/{_SNAPSHOT}{old}")
 
-    _until_used_up(stream, checkpoint, write)
+    until_used_up(stream, checkpoint, write)
 
 
 _SNAPSHOT = "snapshot-"
