@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from fareflow.functions import moments as M
 from fareflow.functions.money import exact_avg, exact_sum
-from fareflow.operators import cleaning, feeds, reports, revenue
+from fareflow.operators import cleaning, feeds, reports, revenue, sketches
 from fareflow.operators import zones as Z
 from fareflow.plans import bindings as B
 from fareflow.plans import sql as S
 from fareflow.plans.registry import query
 from fareflow.schemas import AVERAGE_MEASURES, GREEN_FEED, YELLOW_FEED
-from fareflow.session import new_table
+from fareflow.session import new_folder, new_table
 
 DAY = "1997-05-28"
 
@@ -376,6 +376,70 @@ def top_base(spark, sf_dir):
     return reports.top_keys(B.fhv(spark, sf_dir, "dispatching_base_num"), "dispatching_base_num")
 
 
+def _kept(spark, states, label):
+    """Sketches as they are kept: written once, read for every question."""
+    folder = new_folder(spark, label)
+    states.write.parquet(folder)
+    return spark.read.schema(states.schema).parquet(folder)
+
+
+_TOP = S.with_(S.FHV) + "SELECT {0}, count(*) AS trips FROM fhv GROUP BY {0} ORDER BY trips DESC, {0} LIMIT {1}"
+
+
+@query(_TOP.format("dispatching_base_num", 3).replace("ORDER BY trips DESC, ", "ORDER BY trips DESC NULLS LAST, "))
+def top_bases_sketched(spark, sf_dir):
+    """The busiest bases by the sketches of each month, recounted."""
+    rows = B.fhv(spark, sf_dir, "dispatching_base_num", "pickup_datetime")
+    keys = ["dispatching_base_num"]
+    states = sketches.frequent_states(rows, keys, [M.month_date("pickup_datetime").alias("month")])
+    return sketches.top_keys(_kept(spark, states, "frequent"), rows.select(*keys), keys, 3)
+
+
+@query(
+    S.with_(S.FHV)
+    + """SELECT PULocationID, DOLocationID, count(*) AS trips FROM fhv GROUP BY 1, 2
+         ORDER BY trips DESC, PULocationID NULLS FIRST, DOLocationID NULLS FIRST LIMIT 5"""
+)
+def top_pairs_sketched(spark, sf_dir):
+    """The busiest pairs of pickup and dropoff zone by the sketches of each flag, recounted."""
+    rows = B.fhv(spark, sf_dir, "PULocationID", "DOLocationID", "SR_Flag")
+    keys = ["PULocationID", "DOLocationID"]
+    states = sketches.frequent_states(rows, keys, ["SR_Flag"])
+    return sketches.top_keys(_kept(spark, states, "frequent"), rows.select(*keys), keys, 5)
+
+
+@query(
+    S.with_(S.FHV)
+    + """, m AS (SELECT DISTINCT CAST(date_trunc('month', pickup_datetime) AS DATE) AS month, dispatching_base_num AS base
+                 FROM fhv WHERE pickup_datetime IS NOT NULL),
+         n AS (SELECT month, base, row_number() OVER (PARTITION BY base ORDER BY month) AS seen,
+                      dense_rank() OVER (ORDER BY month) AS i FROM m),
+         months AS (SELECT DISTINCT month, i FROM n),
+         gone AS (SELECT i + 1 AS i, count(*) AS gone FROM n p
+                  WHERE base IS NOT NULL AND NOT EXISTS (SELECT 1 FROM n q WHERE q.i = p.i + 1 AND q.base = p.base) GROUP BY 1)
+         SELECT months.month, count(base) AS present, count(base) FILTER (seen = 1) AS new,
+                count(base) FILTER (seen > 1) AS back, coalesce(max(gone), 0) AS gone
+         FROM months JOIN n USING (i) LEFT JOIN gone USING (i) GROUP BY 1"""
+)
+def base_changes_by_month(spark, sf_dir):
+    """Bases present, new, back and gone in each month, by the months' sketches."""
+    rows = B.fhv(spark, sf_dir, "dispatching_base_num", "pickup_datetime").filter("pickup_datetime IS NOT NULL")
+    states = sketches.distinct_states(rows, "dispatching_base_num", [M.month_date("pickup_datetime").alias("month")])
+    return sketches.distinct_changes(_kept(spark, states, "distinct"), "month")
+
+
+@query(
+    S.with_(S.FHV)
+    + """SELECT CAST(year(pickup_datetime) AS INTEGER) AS year, count(DISTINCT dispatching_base_num) AS bases
+         FROM fhv GROUP BY 1"""
+)
+def bases_by_year_sketched(spark, sf_dir):
+    """Distinct bases of each year by the sketches of its months."""
+    rows = B.fhv(spark, sf_dir, "dispatching_base_num", "pickup_datetime")
+    states = sketches.distinct_states(rows, "dispatching_base_num", [M.month_date("pickup_datetime").alias("month")])
+    return sketches.distinct_in(_kept(spark, states, "distinct"), [F.year("month").alias("year")], "bases")
+
+
 # --- zones ----------------------------------------------------------------------------------
 
 

@@ -1,0 +1,72 @@
+"""Sketches: top keys are exact or all are counted, distinct counts exact below the size and near it above."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from fareflow.operators import sketches
+from tests.conftest import plan, rows
+
+
+def skewed(spark, n=20_000, keys=5000):
+    """Key i has about n / i rows; among them nulls and pairs."""
+    i = F.floor(F.lit(float(keys)) ** (F.pmod(F.xxhash64("id"), F.lit(10_000)) / 10_000)).cast("int")
+    return spark.range(n).select(F.when(i != 3, i).alias("a"), (F.col("id") % 2).alias("b"), (F.col("id") % 4).alias("load"))
+
+
+def exact(df, keys, n):
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("trips")).orderBy(F.desc("trips"), *keys).limit(n)
+
+
+@pytest.mark.parametrize("keys", [["a"], ["a", "b"]])
+@pytest.mark.parametrize("tracked", [64, 1000, 10_000])
+def test_top_keys_are_those_of_a_full_count(spark, keys, tracked):
+    df = skewed(spark)
+    states = sketches.frequent_states(df, keys, ["load"], tracked)
+    for n in (1, 5, 40):
+        got = sketches.top_keys(states, df, keys, n, tracked=tracked)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in exact(df, keys, n).collect()]
+
+
+def test_only_candidates_are_counted_if_the_bound_allows(spark):
+    df = skewed(spark)
+    states = sketches.frequent_states(df, ["a"], ["load"], 1000).cache()
+    got = sketches.top_keys(states, df, ["a"], 3, tracked=1000)
+    assert "LocalTableScan" in plan(got) or "Scan ExistingRDD" in plan(got), "the answer, no second count"
+    even = spark.range(3000).select((F.col("id") % 1500).alias("a"), (F.col("id") % 4).alias("load"))
+    few = sketches.frequent_states(even, ["a"], ["load"], 64)
+    all_counted = sketches.top_keys(few, even, ["a"], 3, tracked=64)
+    assert "HashAggregate" in plan(all_counted) and rows(all_counted) == [(0, 2), (1, 2), (2, 2)]
+
+
+def test_the_bound_holds(spark):
+    """No key that the merged sketch leaves out has more rows than the bound says."""
+    df, tracked = skewed(spark, 30_000, 20_000), 100
+    states = sketches.frequent_states(df, ["a"], ["load"], tracked)
+    merged = states.agg(F.expr(f"approx_top_k_combine(frequent, {tracked})").alias("s"))
+    named = {r[0] for r in merged.select(F.explode(F.expr(f"approx_top_k_estimate(s, {tracked})")["item"])).collect()}
+    counts = df.groupBy(sketches.item(["a"]).alias("i")).count().collect()
+    left_out = max(r["count"] for r in counts if r["i"] not in named)
+    assert named and left_out <= sketches.unseen(30_000, tracked)
+
+
+def test_no_rows(spark):
+    df = skewed(spark).limit(0)
+    assert sketches.top_keys(sketches.frequent_states(df, ["a"], ["load"]), df, ["a"], 3).isEmpty()
+    assert sketches.distinct_changes(sketches.distinct_states(df, "a", ["load"]), "load").isEmpty()
+
+
+def test_distinct_values_of_any_months(spark):
+    df = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (1, None), (2, "b"), (2, "c"), (3, None), (4, "a"), (4, "d"), (4, "d")], "m int, k string"
+    )
+    states = sketches.distinct_states(df, "k", ["m"])
+    assert rows(sketches.distinct_in(states)) == [(4,)]
+    assert rows(sketches.distinct_in(states.filter("m IN (1, 2)"))) == [(3,)]
+    assert rows(sketches.distinct_changes(states, "m")) == [(1, 2, 2, 0, 0), (2, 2, 1, 1, 1), (3, 0, 0, 0, 2), (4, 2, 1, 1, 0)]
+
+
+def test_distinct_values_beyond_the_size(spark):
+    """The error stays within four standard errors."""
+    df = spark.range(200_000).select((F.col("id") % 60_000).alias("k"), (F.col("id") % 5).alias("m"))
+    got = sketches.distinct_in(sketches.distinct_states(df, "k", ["m"])).first()[0]
+    assert got != 60_000 and abs(got - 60_000) < 4 * 60_000 / 2**6
