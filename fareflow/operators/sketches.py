@@ -42,6 +42,15 @@ def unseen(rows: int, tracked: int = TRACKED) -> float:
     return 2 * 3.5 / places * rows
 
 
+def combined(states: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    """One sketch of all rows; no row if there are no states.
+
+    Grouped by a constant: without a group, a task that has no state fails.
+    """
+    state = F.expr(f"approx_top_k_combine({STATE}, {tracked})").alias(STATE)
+    return states.groupBy(F.lit(0).alias("all")).agg(state).select(STATE)
+
+
 def top_keys(
     states: DataFrame, df: DataFrame, keys: Sequence[str], n: int, name: str = "trips", tracked: int = TRACKED
 ) -> DataFrame:
@@ -54,8 +63,7 @@ def top_keys(
     rows = states.agg(F.coalesce(F.sum(ROWS), F.lit(0))).first()[0]
     if not rows:
         return count_by(df, *keys, name=name).orderBy(*order).limit(n)
-    merged = states.agg(F.expr(f"approx_top_k_combine({STATE}, {tracked})").alias(STATE))
-    named = merged.select(F.explode(F.expr(f"approx_top_k_estimate({STATE}, {tracked})")["item"]).alias(ITEM))
+    named = combined(states, tracked).select(F.explode(F.expr(f"approx_top_k_estimate({STATE}, {tracked})")["item"]).alias(ITEM))
     # At most as many rows as a sketch tracks.
     likely = df.withColumn(ITEM, item(keys)).join(F.broadcast(named), ITEM, "left_semi")
     top = count_by(likely, *keys, name=name).orderBy(*order).limit(n).collect()

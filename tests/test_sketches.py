@@ -42,8 +42,8 @@ def test_the_bound_holds(spark):
     """No key that the merged sketch leaves out has more rows than the bound says."""
     df, tracked = skewed(spark, 30_000, 20_000), 100
     states = sketches.frequent_states(df, ["a"], ["load"], tracked)
-    merged = states.agg(F.expr(f"approx_top_k_combine(frequent, {tracked})").alias("s"))
-    named = {r[0] for r in merged.select(F.explode(F.expr(f"approx_top_k_estimate(s, {tracked})")["item"])).collect()}
+    merged = sketches.combined(states, tracked)
+    named = {r[0] for r in merged.select(F.explode(F.expr(f"approx_top_k_estimate(frequent, {tracked})")["item"])).collect()}
     counts = df.groupBy(sketches.item(["a"]).alias("i")).count().collect()
     left_out = max(r["count"] for r in counts if r["i"] not in named)
     assert named and left_out <= sketches.unseen(30_000, tracked)
