@@ -37,6 +37,15 @@ def year_span(trade: DataFrame) -> tuple[int, int]:
     return (0, 0) if first is None else (first, last)
 
 
+def full_years(trade: DataFrame) -> tuple[int, int]:
+    """The first and the last year with trade in all twelve months; reads year and month. (0, 0) if there is none.
+
+    The last year of a table is often cut off; to compare it with a whole one would show a fall everywhere.
+    """
+    months = trade.groupBy("year").agg(F.count_distinct("month").alias("months")).filter("months = 12")
+    return year_span(months)
+
+
 def yearly_changes(
     exports: DataFrame, place: Sequence[str], first_year: int, last_year: int
 ) -> DataFrame:

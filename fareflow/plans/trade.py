@@ -42,12 +42,21 @@ def _changes(*place: str) -> tuple[str, ...]:
     )
 
 
+FULL_YEARS = """full_years AS (SELECT min(year) AS first, max(year) AS last
+    FROM (SELECT year FROM trade GROUP BY 1 HAVING count(DISTINCT month) = 12) y)"""
+
+
+def _full_years(spark, sf_dir):
+    return T.full_years(B.trade(spark, sf_dir, "year", "month"))
+
+
 def _biggest_sql(*place: str) -> str:
     names = ", ".join(place)
     return S.with_(
         *_changes(*place),
+        FULL_YEARS,
         f"""last_year AS (SELECT {names}, previous_fob, current_fob, current_fob - previous_fob AS change_fob
-            FROM changes WHERE year = 2000)""",
+            FROM changes WHERE year = (SELECT last FROM full_years))""",
     ) + f"""
         SELECT *, 'increase' AS direction,
                CAST(row_number() OVER (ORDER BY change_fob DESC, {names}) AS INTEGER) AS position FROM
@@ -58,18 +67,21 @@ def _biggest_sql(*place: str) -> str:
             (SELECT * FROM last_year WHERE change_fob < 0 ORDER BY change_fob, {names} LIMIT 5) d"""
 
 
+def _biggest(spark, sf_dir, place):
+    """The changes of the last full year; the other years' orders are not read a second time."""
+    _, last = _full_years(spark, sf_dir)
+    rows = B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS, years=(last - 1, last))
+    return T.biggest_changes(rows, place, last)
+
+
 @query(_biggest_sql("origin_state", "origin_city"))
 def export_change_by_city(spark, sf_dir):
-    place = ("origin_state", "origin_city")
-    rows = B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS, years=(1999, 2000))
-    return T.biggest_changes(rows, place, 2000)
+    return _biggest(spark, sf_dir, ("origin_state", "origin_city"))
 
 
 @query(_biggest_sql("origin_state"))
 def export_change_by_state(spark, sf_dir):
-    place = ("origin_state",)
-    rows = B.trade(spark, sf_dir, "year", *place, "fob", flow=T.EXPORTS, years=(1999, 2000))
-    return T.biggest_changes(rows, place, 2000)
+    return _biggest(spark, sf_dir, ("origin_state",))
 
 
 @query(
@@ -110,19 +122,21 @@ def trade_balance(spark, sf_dir):
 
 
 @query(
-    S.with_(S.TRADE)
-    + """, yearly AS (SELECT destination_country, y.year, coalesce(sum(t.fob), 0) AS fob
-                      FROM (SELECT DISTINCT destination_country FROM trade WHERE year BETWEEN 1995 AND 2000) c
-                      CROSS JOIN generate_series(1995, 2000) y(year)
-                      LEFT JOIN trade t USING (destination_country, year) GROUP BY 1, 2)
-         SELECT destination_country, 2001 AS year,
-                round(regr_intercept(CAST(fob AS DOUBLE), CAST(year - 1995 AS DOUBLE))
-                      + 6 * regr_slope(CAST(fob AS DOUBLE), CAST(year - 1995 AS DOUBLE)), 2) AS forecast_fob
-         FROM yearly GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 5"""
+    S.with_(S.TRADE, FULL_YEARS)
+    + """, years AS (SELECT CAST(unnest(generate_series(first, last)) AS INTEGER) AS year FROM full_years),
+         yearly AS (SELECT destination_country, y.year, coalesce(sum(t.fob), 0) AS fob
+                    FROM (SELECT DISTINCT destination_country FROM trade WHERE year IN (SELECT year FROM years)) c
+                    CROSS JOIN years y LEFT JOIN trade t USING (destination_country, year) GROUP BY 1, 2)
+         SELECT destination_country, last + 1 AS year,
+                round(regr_intercept(CAST(fob AS DOUBLE), CAST(year - first AS DOUBLE))
+                      + (last + 1 - first) * regr_slope(CAST(fob AS DOUBLE), CAST(year - first AS DOUBLE)), 2) AS forecast_fob
+         FROM yearly, full_years GROUP BY 1, first, last ORDER BY 3 DESC, 1 LIMIT 5"""
 )
 def partner_forecast(spark, sf_dir):
-    rows = B.trade(spark, sf_dir, "year", "destination_country", "fob", years=(1995, 2000))
-    return T.partner_forecast(rows, 1995, 2000)
+    """The year after the last full one, by all full years."""
+    first, last = _full_years(spark, sf_dir)
+    rows = B.trade(spark, sf_dir, "year", "destination_country", "fob", years=(first, last))
+    return T.partner_forecast(rows, first, last)
 
 
 @query(

@@ -225,3 +225,12 @@ def test_payload_that_cannot_be_used(spark, tmp_path, text, reason):
     assert read_trade_payload(spark, str(tmp_path), NAMES, on_error="skip").count() == 1
     found = payload_rejects(spark, str(tmp_path), NAMES).collect()
     assert found and all(reason in r["reason"] and r["file"].endswith("bad.json") for r in found)
+
+
+def test_full_years(spark):
+    """Years with trade in every month; the first and the last may be cut off, and one between may lack a month."""
+    months = [(1994, 12), *((1995, m) for m in range(1, 13)), *((1996, m) for m in range(1, 12))]
+    months += [*((1997, m) for m in range(1, 13)), (1997, 5), (1998, 1), (1998, None), (None, 3)]
+    df = spark.createDataFrame(months, "year int, month int")
+    assert T.full_years(df) == (1995, 1997)
+    assert T.full_years(df.filter("month < 12")) == T.full_years(df.limit(0)) == (0, 0)
