@@ -55,6 +55,30 @@ def exact_avg(amount: Column | str) -> Column:
     return F.try_divide(_total(amount), F.count(_known(amount)))
 
 
+def partial_sums(amount: Column | str, name: str) -> list[Column]:
+    """What is kept of a group's amounts so that groups can be merged: :func:`merged_sum`, :func:`merged_avg`."""
+    known = _known(amount)
+    finite = _finite(known)
+    rest = finite - F.rint(finite * F.lit(float(HUNDREDTHS))) / F.lit(float(HUNDREDTHS))
+    return [
+        F.sum(hundredths(amount)).alias(f"{name}__hundredths"),
+        F.sum(rest).alias(f"{name}__rest"),
+        F.sum(F.when(F.abs(known) == F.lit(float("inf")), known)).alias(f"{name}__infinite"),
+        F.count(known).alias(f"{name}__known"),
+    ]
+
+
+def merged_sum(name: str) -> Column:
+    """The sum over groups of :func:`partial_sums`, as :func:`exact_sum` gives it over their rows."""
+    finite = from_hundredths(F.sum(f"{name}__hundredths")) + F.sum(f"{name}__rest")
+    return F.coalesce(F.sum(f"{name}__infinite"), finite)
+
+
+def merged_avg(name: str) -> Column:
+    """The average over groups of :func:`partial_sums`."""
+    return F.try_divide(merged_sum(name), F.sum(f"{name}__known"))
+
+
 def unknown_count(amount: Column | str) -> Column:
     """How many values a sum or average leaves out: null or NaN."""
     return F.count(F.lit(1)) - F.count(_known(amount))
