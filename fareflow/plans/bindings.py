@@ -37,6 +37,7 @@ def _trip_columns() -> dict[str, tuple[set[str], Column]]:
     """Column -> the tables it needs besides lineitem, and its expression."""
     line = F.col("l_linenumber")
     return {
+        "trip_id": (set(), 8 * F.col("l_orderkey") + line),
         "VendorID": (set(), line.cast("long")),
         "pickup_datetime": ({"orders"}, F.col("o_orderdate")),
         "dropoff_datetime": (set(), F.col("l_shipdate")),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions import moments as M
@@ -466,6 +469,39 @@ def count_vendor_in_range(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+def trip_layouts(spark, trips, trips_in_a_group):
+    """The same trips by month and vendor, without and with Bloom filters on the trip, which nothing is ordered by."""
+    options = {"dated": {}, "bloom": tables.bloom_options({"trip_id": trips_in_a_group})}
+    return {
+        label: tables.create_by_date(
+            trips, new_table(label), PICKUP_MONTH, ["VendorID"], new_folder(spark, label), **more
+        )
+        for label, more in options.items()
+    }
+
+
+@query(
+    """WITH trips AS (SELECT 8 * l_orderkey + l_linenumber AS trip_id, l_extendedprice AS fare_amount FROM lineitem),
+            wanted AS (SELECT max(trip_id) // 16 * 8 AS absent, min(trip_id) FILTER (trip_id > (SELECT max(trip_id) // 16 * 8 FROM trips)) AS rare FROM trips),
+            asked AS (SELECT unnest(['absent', 'rare']) AS kind, unnest([absent, rare]) AS trip_id FROM wanted)
+       SELECT layout, kind, CAST(count(fare_amount) AS BIGINT) AS trips, CAST(sum(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) AS fares
+       FROM (VALUES ('dated'), ('bloom')) l(layout), asked LEFT JOIN trips USING (trip_id) GROUP BY 1, 2"""
+)
+def trip_lookup_bloom(spark, sf_dir):
+    """Single trips by their number in either layout: one that is there, and one that is not, amid the others."""
+    trips = B.trips(spark, sf_dir, "trip_id", "VendorID", "pickup_datetime", "fare_amount")
+    last = trips.agg(F.coalesce(F.max("trip_id"), F.lit(0))).first()[0]
+    absent = last // 16 * 8
+    rare = trips.agg(F.min(F.when(F.col("trip_id") > absent, F.col("trip_id")))).first()[0]
+    found = []
+    for layout, table in trip_layouts(spark, trips, 1_000_000).items():
+        for kind, trip in (("absent", absent), ("rare", rare)):
+            row = table.filter(F.col("trip_id") == trip)
+            row = row.agg(F.count(F.lit(1)).alias("trips"), exact_sum("fare_amount").alias("fares"))
+            found.append(row.select(F.lit(layout).alias("layout"), F.lit(kind).alias("kind"), "trips", "fares"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _clustered_fhv(spark, sf_dir):
     """For-hire trips without three columns, by pickup month and ordered by base."""
     columns = ("dispatching_base_num", "pickup_datetime", "dropoff_datetime", "Affiliated_base_number")
