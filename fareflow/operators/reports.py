@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareflow.functions.moments import in_years, month_date
+from fareflow.session import own_session
 
 
 def row_count(df: DataFrame, name: str = "trips") -> DataFrame:
@@ -81,3 +82,15 @@ def rows_by_month(df: DataFrame, ts: str, months: Iterable[tuple[int, int]]) ->
     lines = counts.select(F.explode(F.array("period", F.lit("total"))).alias("period"), "rows")
     none = df.sparkSession.range(1).select(F.lit("total").alias("period"), F.lit(0).cast("long").alias("rows"))
     return lines.unionByName(none).groupBy("period").agg(F.sum("rows").alias("rows"))
+
+
+def footer_report(spark: SparkSession, path: str, by: Sequence[str], extremes: Sequence[str]) -> DataFrame:
+    """Rows, least and greatest value of some columns by partition column, from the footers of Parquet files.
+
+    The scan itself answers, without reading a page: for whole numbers, doubles, booleans and dates, and
+    without filters on other columns than those of the partitions. A column with NaN has no range in its
+    footer and must not be asked for.
+    """
+    footers = own_session(spark, spark__sql__sources__useV1SourceList="", spark__sql__parquet__aggregatePushdown="true")
+    asked = [f(c).alias(f"{name}_{c}") for c in extremes for name, f in (("min", F.min), ("max", F.max))]
+    return footers.read.parquet(path).groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *asked)

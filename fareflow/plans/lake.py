@@ -24,6 +24,7 @@ from fareflow.sinks.manifest import read_manifest
 from fareflow.sources import files as sources
 from fareflow.sources.payload import payload_rejects as read_payload_rejects
 from fareflow.sources.payload import read_trade_payload
+from fareflow.sources.variant import read_trade_variant
 
 PICKUP_MONTH = tables.DateLayout("pickup_datetime", "month")
 TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
@@ -237,6 +238,40 @@ def payload_rejects(spark, sf_dir):
     return rejects.select(of("year"), of("month"), "reason")
 
 
+@query(
+    S.with_(S.TRADE)
+    + """SELECT year, month, destination_country, trade_bloc, origin_city, origin_state, section_cd, section_ds, fob,
+                CASE WHEN net_weight % 3 <> 1 THEN net_weight END AS net_weight,
+                CASE net_weight % 3 WHEN 0 THEN '{}' WHEN 1 THEN '{"port":"P' || month || '"}'
+                     ELSE '{"f09_unit":"kg","port":{"code":' || month || '}}' END AS more
+         FROM trade"""
+)
+def trade_json_variant(spark, sf_dir):
+    """Records whose fields are added, missing, of another type, or nested. Every document is there twice more, broken."""
+    folder = new_folder(spark, "trade-variant")
+    rows = B.trade(spark, sf_dir, *TRADE_PAYLOAD)
+    named = dict(zip(TRADE_PAYLOAD, PAYLOAD_NAMES))
+    text = {named[c]: F.col(c).cast("string") for c in TRADE_PAYLOAD}
+    number = text | {named[c]: F.col(c) for c in ("year", "fob", "net_weight")}
+    without = {name: c for name, c in number.items() if name != named["net_weight"]}
+    without["port"] = F.concat(F.lit("P"), F.col("month"))
+    nested = number | {"f09_unit": F.lit("kg"), "port": F.struct(F.col("month").alias("code"))}
+    line = lambda fields: F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+    kind = F.col("net_weight") % 3
+    record = F.when(kind == 0, line(text)).when(kind == 1, line(without)).otherwise(line(nested))
+    part = F.pmod(F.xxhash64("section_cd", "fob", "net_weight", "origin_city"), F.lit(8))
+    lists = rows.select("year", "month", part.alias("part"), record.alias("record")).groupBy("year", "month", "part")
+    document = F.concat(F.lit('{"data":{"list":['), F.array_join(F.collect_list("record"), ","), F.lit("]}}"))
+    lists.agg(document.alias("value")).select("value").write.text(folder)
+    broken = spark.read.text(folder).select(F.explode(F.array(F.concat("value", F.lit(" }")), F.substring("value", 1, 40))).alias("value"))
+    broken.write.mode("append").text(f"{folder}/broken")
+    records = read_trade_variant(spark, [f"{folder}/*.txt", f"{folder}/broken"], PAYLOAD_NAMES)
+    return records.withColumn("more", F.concat(
+        F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_keys("more")), lambda k: F.concat(
+            F.lit('"'), k, F.lit('":'), F.element_at("more", k))), ","), F.lit("}"),
+    ))
+
+
 # --- sinks ----------------------------------------------------------------------------------
 
 _FEED_SQL = S.with_(S.TRIPS) + "SELECT pickup_datetime, PULocationID, total_amount, service_type FROM trips"
@@ -617,6 +652,19 @@ def partition_row_counts(spark, sf_dir):
     return tables.partition_row_counts(table, PICKUP_MONTH.column)
 
 
+@query(
+    S.with_(S.TRIPS)
+    + """SELECT CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month, count(*) AS rows,
+                min(trip_distance) AS min_trip_distance, max(trip_distance) AS max_trip_distance,
+                min(VendorID) AS min_VendorID, max(VendorID) AS max_VendorID
+         FROM trips GROUP BY 1, 2"""
+)
+def footer_report(spark, sf_dir):
+    """Trips and the range of their distances in each month, as the files' footers have them."""
+    folder = _monthly_folders(spark, sf_dir, "pickup_datetime", "trip_distance", "VendorID")
+    return reports.footer_report(spark, folder, ["year", "month"], ["trip_distance", "VendorID"])
+
+
 @query(
     S.with_(S.FHV)
     + """, columns AS (SELECT row_number() OVER () AS position, column_name, column_type

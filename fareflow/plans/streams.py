@@ -129,6 +129,19 @@ def stream_restart(spark, sf_dir):
     return runner.read_current(spark, f"{folder}/out", counts.VENDOR_COUNTS)
 
 
+@query(_COUNTS.format("true"))
+def stream_counts_from_state(spark, sf_dir):
+    """The counts as the checkpoint holds them, after messages have arrived in two parts; no snapshot is written."""
+    folder = new_folder(spark, "state")
+    topic = B.ride_messages(B.events(spark, sf_dir))
+    odd = F.col("partition").isin(1, 3)
+    for arrived in (topic.filter(odd), topic.filter(~odd)):
+        arrived.write.mode("append").parquet(f"{folder}/topic")
+        decoded = messages.decode(read_recorded_topic(_counting(spark), f"{folder}/topic"))
+        runner.until_used_up(counts.vendor_counts(decoded), f"{folder}/checkpoint", runner.discard)
+    return runner.read_state(spark, f"{folder}/checkpoint", counts.VENDOR_COUNTS)
+
+
 @query(
     S.with_(S.RIDES)
     + f"""SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset" FROM rides"""

@@ -101,3 +101,20 @@ def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     if not found:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/{_SNAPSHOT}{found[-1]}")
+
+
+def discard(batch: DataFrame, batch_id: int) -> None:
+    """Computes a batch and keeps only its state."""
+    batch.write.format("noop").mode("overwrite").save()
+
+
+def read_state(spark: SparkSession, checkpoint: str, schema: T.StructType) -> DataFrame:
+    """The rows of a running aggregate as its checkpoint holds them, after the last batch that is done.
+
+    The state has the group's columns as key and the aggregates in their order as value; ``schema`` names
+    both. No rows before the first batch. Nothing but the checkpoint is read, and nothing need be written for it.
+    """
+    if not folders(spark, f"{checkpoint}/commits/[0-9]*"):
+        return spark.createDataFrame([], schema)
+    state = spark.read.format("statestore").option("path", checkpoint).load()
+    return state.select("key.*", "value.*").toDF(*schema.fieldNames())

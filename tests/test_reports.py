@@ -1,5 +1,7 @@
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from fareflow.operators import reports
 from tests.conftest import plan, rows
 
@@ -47,3 +49,15 @@ def test_distinct_count_exact_or_approximate(spark):
     df = trips(spark)
     assert reports.distinct_count(df, "base", "n").first()[0] == 3
     assert reports.distinct_count(df, "base", "n", approximate=0.05).first()[0] == 3
+
+
+def test_footers_answer_without_a_page(spark, folder):
+    df = spark.range(5000).selectExpr("id", "CAST(id % 7 AS INT) AS part", "CAST(id % 91 AS DOUBLE) AS x", "IF(id % 3 = 0, NULL, id) AS y")
+    df.repartition(3).write.partitionBy("part").parquet(folder)
+    found = reports.footer_report(spark, folder, ["part"], ["x", "y"])
+    text = plan(found)
+    assert "PushedAggregation: [COUNT(*)" in text and "MIN(y)" in text, text
+    want = df.groupBy("part").agg(F.count("*"), F.min("x"), F.max("x"), F.min("y"), F.max("y"))
+    assert rows(found) == rows(want)
+    whole = reports.footer_report(spark, folder, [], ["y"])
+    assert rows(whole) == [(5000, 1, 4999)] and "PushedAggregation: [COUNT(*)" in plan(whole)

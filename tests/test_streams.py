@@ -165,3 +165,21 @@ def test_recorded_rides_are_picked_by_position(spark):
     assert json.loads(row.value) == {
         "vendorId": 0, "passenger_count": 3, "trip_distance": 4.0, "payment_type": 9, "total_amount": 16.0,
     }
+
+
+def test_counts_from_the_state(spark, base):
+    def run():
+        few = own_session(spark, spark__sql__shuffle__partitions=2)
+        decoded = messages.decode(read_recorded_topic(few, f"{base}/topic", files_per_batch=1))
+        runner.until_used_up(counts.vendor_counts(decoded), f"{base}/checkpoint", runner.discard)
+        return rows(runner.read_state(spark, f"{base}/checkpoint", counts.VENDOR_COUNTS))
+
+    assert rows(runner.read_state(spark, f"{base}/checkpoint", counts.VENDOR_COUNTS)) == []
+    add_messages(spark, f"{base}/topic", [ride(1), ride(1), ride(2), "bad"])
+    assert run() == [(1, 2), (2, 1)]
+    for _ in range(2):
+        add_messages(spark, f"{base}/topic", [ride(3), ride(1)])
+    assert run() == [(1, 4), (2, 1), (3, 2)]
+    assert run() == [(1, 4), (2, 1), (3, 2)], "nothing new"
+    found = runner.read_state(spark, f"{base}/checkpoint", counts.VENDOR_COUNTS)
+    assert found.schema.fieldNames() == counts.VENDOR_COUNTS.fieldNames()

@@ -1,0 +1,59 @@
+"""Payloads of changing fields: known ones typed, nothing else lost."""
+
+import json
+
+from fareflow.schemas import TRADE_PAYLOAD
+from fareflow.sources.variant import read_trade_variant, variant_rejects
+from tests.conftest import plan, rows
+
+NAMES = [f"f{i}" for i in range(10)]
+RECORD = dict(zip(NAMES, ["1999", "5", "FRANCE", "EUROPE", "Lyon", "Rhone", "01", "Wine", "125", "7"]))
+
+
+def documents(tmp_path, *lines):
+    (tmp_path / "a.json").write_text("\n".join(x if isinstance(x, str) else json.dumps(x) for x in lines))
+    return str(tmp_path / "a.json")
+
+
+def of(*records):
+    return {"data": {"list": list(records)}}
+
+
+def test_known_fields_are_typed_from_text_or_number(spark, tmp_path):
+    path = documents(tmp_path, of(RECORD, RECORD | {"f0": 1999, "f8": 125, "f9": None}))
+    first, second = read_trade_variant(spark, path, NAMES).orderBy("net_weight").collect()
+    assert first.asDict() == dict(second.asDict(), net_weight=None)
+    assert (second.year, second.month, second.fob, second.net_weight, second.trade_bloc, second.more) == (1999, 5, 125, 7, "EUROPE", {})
+
+
+def test_what_is_unknown_or_does_not_fit_is_kept(spark, tmp_path):
+    odd = RECORD | {"port": {"code": 7, "tags": ["a", None]}, "f8": "much", "f2": ["FR"], "F0": 3, "": True}
+    short = {"f0": "2000", "note": "x\"y"}
+    got = {r.year: r for r in read_trade_variant(spark, documents(tmp_path, of(odd), of(short)), NAMES).collect()}
+    more = {k: json.loads(v) for k, v in got[1999].more.items()}
+    assert more == {"port": {"code": 7, "tags": ["a", None]}, "f8": "much", "F0": 3, "": True} | (
+        {"f2": ["FR"]} if got[1999].destination_country is None else {}
+    )
+    assert got[1999].fob is None and got[1999].net_weight == 7
+    assert got[2000].month is None and json.loads(got[2000].more["note"]) == 'x"y'
+    assert read_trade_variant(spark, documents(tmp_path, of(odd)), NAMES, keep_more=False).columns == list(TRADE_PAYLOAD)
+
+
+def test_records_that_are_no_objects(spark, tmp_path):
+    got = read_trade_variant(spark, documents(tmp_path, of(1, "x", None, [2])), NAMES).collect()
+    assert [r.year for r in got] == [None] * 4
+    assert sorted(r.more[""] or "" for r in got) == ['"x"', "1", "[2]", "null"]
+
+
+def test_lines_that_are_no_documents(spark, tmp_path):
+    good = json.dumps(of(RECORD))
+    bad = [good + " x", good + good, good + '],"z":[', good + "]}", good[:40], "not json", "", '{"data": {}}', '{"data": {"list": 3}}', "[]"]
+    path = documents(tmp_path, good, of(), *bad)
+    assert read_trade_variant(spark, path, NAMES).count() == 1
+    assert sorted(r.value for r in variant_rejects(spark, path).collect()) == sorted(bad)
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    found = read_trade_variant(spark, documents(tmp_path, of(RECORD)), NAMES)
+    assert plan(found).count("from_json") == 1
+    assert rows(found.select("year")) == [(1999,)]
