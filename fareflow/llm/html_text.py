@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from html.parser import HTMLParser
-from os.path import commonprefix
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +49,21 @@ MARKS = set(
     "consent gdpr disclaimer legal copyright popup modal newsletter subscribe subscription signup login comment comments commentlist respond "
     "reply replies disqus share sharing social related recommended pagination pager toolbar widget skip".split()
 )
+#: Words that go with a mark in the name of such a block: "ad-slot", "comments-list".
+FRAMES = set("box wrap wrapper container content slot block section list item area bar left right top bottom main form unit".split())
+#: Marks that count on a paragraph too; "legal" or "alert" on a paragraph is as likely its subject.
+PARAGRAPH_MARKS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _MARK = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+def _is_mark(name: str, marks: set[str]) -> bool:
+    """Whether all of a name marks a block: "related" and "ad-slot" do, "related-work" is about a subject."""
+    words = _MARK.findall(_CAMEL.sub(" ", name).lower())
+    return any(w in marks for w in words) and all(w in MARKS or w in FRAMES for w in words)
+
+
 def marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     """Whether an element is never part of an article."""
     if tag in ASIDE:
@@ -63,9 +73,7 @@ def marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
             return True
         if value and tag not in ("html", "body"):
             if name in ("class", "id"):
-                words = (_MARK.findall(_CAMEL.sub(" ", x).lower()) for x in value.split())
-                # The first or last word of a name says what the block is; "article-header-text" is text.
-                if any(w and (w[0] in MARKS or w[-1] in MARKS) for w in words):
+                if any(map(_is_mark, value.split(), repeat(PARAGRAPH_MARKS if tag == "p" else MARKS))):
                     return True
             elif name == "role" and value.strip().lower() in ROLES:
                 return True
@@ -76,48 +84,89 @@ def marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     return False
 
 
+class Block:
+    """A block element: what it stands in, and which lines stand in it; lines of a block are neighbours."""
+
+    __slots__ = ("tag", "parent", "depth", "main", "start", "end")
+
+    def __init__(self, tag: str, parent: Block | None, is_main: bool, start: int):
+        self.tag, self.parent, self.start, self.end = tag, parent, start, start
+        self.depth: int = parent.depth + 1 if parent else 0
+        #: The outermost <article> or <main> that it is or stands in.
+        self.main: Block | None = (parent.main if parent else None) or (self if is_main else None)
+
+
 @dataclass
 class Line:
-    """The text of a block, the tags met in it, the blocks it stands in, outermost first, and the last one's tag."""
+    """The text of a block, the tags met in it, and the innermost block it stands in."""
 
     text: str
     tags: int
-    path: tuple[int, ...]
-    block: str = ""
+    block: Block
 
 
-@dataclass
 class Element:
-    tag: str
-    aside: bool
-    block: int
+    """An open element; ``block`` is None for one that flows inside a line."""
+
+    __slots__ = ("tag", "aside", "block", "alive")
+
+    def __init__(self, tag: str, aside: bool, block: Block | None):
+        self.tag, self.aside, self.block, self.alive = tag, aside, block, True
 
 
 class Lines(HTMLParser):
-    """Collects the lines of a page outside the blocks that are never part of an article."""
+    """Collects the lines of a page outside the blocks that are never part of an article.
+
+    Places of open elements are kept by tag, so that no event looks through all that is open: the time
+    of a page is in proportion to its length, however deep it is nested.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
+        self.page = Block("", None, False, 0)
         self.open: list[Element] = []
-        self.main: list[int] = []
+        #: Places in ``open`` of each tag's elements, and of all blocks; an inline element that has ended among
+        #: others stays in ``open``, no longer alive.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
         self.lines: list[Line] = []
         self.pieces: list[str] = []
-        self.tags = self.blocks = 0
+        self.tags = 0
+
+    @property
+    def block(self) -> Block:
+        return self.open[self.blocks[-1]].block if self.blocks else self.page
 
     def end_line(self) -> None:
         if text := " ".join("".join(self.pieces).split()):
-            blocks = [e for e in self.open if e.tag not in INLINE]
-            path = tuple(e.block for e in blocks)
-            self.lines.append(Line(text, self.tags, path, blocks[-1].tag if blocks else ""))
+            self.lines.append(Line(text, self.tags, self.block))
         self.pieces, self.tags = [], 0
 
     @property
     def aside(self) -> bool:
         return bool(self.open) and self.open[-1].aside
 
-    def close_at(self, place: int) -> None:
-        self.end_line()
-        del self.open[place:]
+    def push(self, tag: str, attrs, is_block: bool) -> None:
+        aside = self.aside or marked(tag, attrs)
+        block = Block(tag, self.block, tag in MAIN and not aside, len(self.lines)) if is_block else None
+        if is_block:
+            self.blocks.append(len(self.open))
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append(Element(tag, aside, block))
+
+    def close_from(self, place: int) -> None:
+        """Ends the elements from a place on, and the ended ones before it."""
+        while len(self.open) > place or self.open and not self.open[-1].alive:
+            element = self.open.pop()
+            if element.alive:
+                self.places[element.tag].pop()
+            if element.block is not None:
+                self.blocks.pop()
+                element.block.end = len(self.lines)
+
+    def last(self, tags) -> int:
+        """The place of the innermost open element of some tags; -1 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -127,31 +176,20 @@ class Lines(HTMLParser):
             elif tag == "br":
                 self.pieces.append(" ")
             if tag not in VOID:
-                self.open.append(Element(tag, self.aside or marked(tag, attrs), 0))
+                self.push(tag, attrs, False)
             return
         self.end_line()
-        tags = [e.tag for e in self.open]
-        if tag == "body" and "head" in tags:
-            del self.open[tags.index("head") :]
+        if tag == "body" and self.places.get("head"):
+            self.close_from(self.places["head"][0])
         elif tag in CLOSED_BY_SAME:
-            for place in range(len(tags) - 1, -1, -1):
-                if tags[place] in CLOSED_BY_SAME[tag]:
-                    break
-                if tags[place] == tag or {tag, tags[place]} <= {"td", "th"} or {tag, tags[place]} <= {"dt", "dd"}:
-                    del self.open[place:]
-                    break
-        else:
+            same = {"td", "th"} if tag in ("td", "th") else {"dt", "dd"} if tag in ("dt", "dd") else {tag}
+            place = self.last(same)
+            if place > self.last(CLOSED_BY_SAME[tag]):
+                self.close_from(place)
+        elif self.block.tag in CLOSED_BY_BLOCK:
             # A paragraph ends where the next block begins, with what is open inside it.
-            for place in range(len(tags) - 1, -1, -1):
-                if tags[place] in CLOSED_BY_BLOCK:
-                    del self.open[place:]
-                    break
-                if tags[place] not in INLINE:
-                    break
-        self.blocks += 1
-        self.open.append(Element(tag, self.aside or marked(tag, attrs), self.blocks))
-        if tag in MAIN and not self.aside:
-            self.main.append(self.blocks)
+            self.close_from(self.blocks[-1])
+        self.push(tag, attrs, True)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -160,17 +198,17 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
-        for place in range(len(self.open) - 1, -1, -1):
-            if self.open[place].tag == tag:
-                if tag in INLINE:
-                    del self.open[place]
-                else:
-                    self.close_at(place)
-                return
+        place = self.last((tag,))
+        if tag in INLINE:
             # A stray end tag of a line does not end the block around it.
-            if tag in INLINE and self.open[place].tag not in INLINE:
-                return
-        if tag not in INLINE:
+            if place >= 0 and place > (self.blocks[-1] if self.blocks else -1):
+                self.places[tag].pop()
+                self.open[place].alive = False
+                self.close_from(len(self.open))
+        elif place >= 0:
+            self.end_line()
+            self.close_from(place)
+        else:
             self.end_line()
             if tag == "br":
                 self.pieces.append(" ")
@@ -182,6 +220,8 @@ class Lines(HTMLParser):
     def finish(self) -> list[Line]:
         self.close()
         self.end_line()
+        self.close_from(0)
+        self.page.end = len(self.lines)
         return self.lines
 
 
@@ -214,7 +254,17 @@ def content(lines: list[Line]) -> np.ndarray:
     return own if own.any() else values >= least
 
 
-def region(lines: list[Line], main: set[int]) -> list[Line]:
+def common_block(a: Block, b: Block) -> Block:
+    """The innermost block around two."""
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+    return a
+
+
+def region(lines: list[Line]) -> list[Line]:
     """The lines of the smallest block that holds all content lines, and the headings it stands under.
 
     An article around that block is taken whole. Of content inside and outside of articles, those with
@@ -222,38 +272,29 @@ def region(lines: list[Line], main: set[int]) -> list[Line]:
     out, any articles.
     """
     chosen = [line for line, is_content in zip(lines, content(lines)) if is_content]
-    path = commonprefix([line.path for line in chosen])
-
-    def within(depth: int) -> tuple[int, int]:
-        """Where the lines of the block at that depth begin and end; lines of a block are neighbours."""
-        block = path[max(depth - 1, 0) : depth]
-        held = [i for i, x in enumerate(lines) if x.path[max(depth - 1, 0) : depth] == block]
-        return held[0], held[-1] + 1
-
-    depth = next((d for d, block in enumerate(path, 1) if block in main), len(path))
-    start, end = within(depth)
-    if main.intersection(path):
-        return lines[start:end]
+    # Lines stand in the order of the page, so a block around the first and the last is around all.
+    block = common_block(chosen[0].block, chosen[-1].block)
+    if block.main:
+        return lines[block.main.start : block.main.end]
     # Up to a block with other lines beside it: a line is no region, and a block around a block no other one.
-    while depth and end - start == 1 < len(lines):
-        depth -= 1
-        start, end = within(depth)
-    inside = lambda x: next((b for b in x.path if b in main), None)
-    held = [x for x in chosen if inside(x) is not None]
-    tops = {inside(x) for x in held}
+    while block.parent and block.end - block.start == 1 < len(lines):
+        block = block.parent
+    held = [x for x in chosen if x.block.main]
+    tops = {id(x.block.main) for x in held}
     if tops and 2 * sum(len(x.text) for x in held) >= sum(len(x.text) for x in chosen):
-        return [line for line in lines if inside(line) in tops]
-    if end - start == len(lines):
-        return [line for line in lines if inside(line) is not None and not tops] or lines
-    while within(depth - 1) == (start, end):
-        depth -= 1
-    first, _ = within(depth - 1)
-    before = start
-    while before > first and (len(lines[before - 1].path) <= depth or lines[before - 1].block in HEADING):
+        return [line for line in lines if id(line.block.main) in tops]
+    if block.end - block.start == len(lines):
+        return [line for line in lines if line.block.main and not tops] or lines
+    while (block.parent.start, block.parent.end) == (block.start, block.end):
+        block = block.parent
+    before, start = block.start, block.start
+    while before > block.parent.start and (
+        lines[before - 1].block.depth <= block.depth or lines[before - 1].block.tag in HEADING
+    ):
         before -= 1
-    while before < start and lines[before].block not in HEADING | {"p"}:
+    while before < start and lines[before].block.tag not in HEADING | {"p"}:
         before += 1
-    return lines[before:end]
+    return lines[before : block.end]
 
 
 def main_text(html: str | None) -> str:
@@ -263,11 +304,15 @@ def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html)
     lines = parser.finish()
-    return " ".join(line.text for line in region(lines, set(parser.main))) if lines else ""
+    return " ".join(line.text for line in region(lines)) if lines else ""
 
 
 def extract(pages: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
-    """The rows with text (empty if a page has none, or is null) and n_chars, its code points."""
+    """The rows with text (empty if a page has none, or is null) and n_chars, its code points.
+
+    Every row is a page of its own, also a repeated one. A page is one row of a task however long it is; its time grows
+    with its length, not with its nesting. Columns of those names are replaced, others stay; an empty table gives none.
+    """
 
     def make():
         def compute(batch: pa.RecordBatch):
