@@ -25,7 +25,7 @@ from fareflow.llm.common import struct, BLANKS, emit, free_name, map_rows, slice
 #: Bytes of a filter that are merged at a time.
 CHUNK = 8192
 PARTS = struct(chunk=T.IntegerType(), once=T.BinaryType(), twice=T.BinaryType())
-SUSPECTS = struct(id=T.LongType(), digest=T.BinaryType())
+SUSPECTS = struct(id=T.LongType(), row=T.LongType(), digest=T.BinaryType())
 #: Stands for a missing id: smaller than any other, and one document.
 NO_ID = -(2**63)
 
@@ -124,7 +124,7 @@ def seen_twice(docs: DataFrame, bits: int, settings: Settings) -> DataFrame:
 
 
 def suspects(docs: DataFrame, settings: Settings) -> DataFrame:
-    """id, digest: the long lines, once per document, that perhaps two documents hold.
+    """id, row, digest: the long lines, once per row, that perhaps two documents hold.
 
     The filter, of at most ``most_bits``, goes to all tasks through the driver.
     """
@@ -138,41 +138,54 @@ def suspects(docs: DataFrame, settings: Settings) -> DataFrame:
         twice = Filter(bits, shared.value)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, digests = [], []
-                for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                ids, rows, digests = [], [], []
+                for i, row, text in zip(*[part.column(c).to_pylist() for c in ("id", "row", "text")]):
                     if found := list(keys(text, settings.least_chars)):
                         kept = [k for k, hit in zip(found, twice.has(_hashes(found))) if hit]
                         ids += [i] * len(kept)
+                        rows += [row] * len(kept)
                         digests += map(xxhash.xxh3_128_digest, kept)
-                yield emit(SUSPECTS, {"id": ids, "digest": digests})
+                yield emit(SUSPECTS, {"id": ids, "row": rows, "digest": digests})
 
-    return docs.select(_id().alias("id"), "text").mapInArrow(run, SUSPECTS)
+    return docs.select(_id().alias("id"), _row().alias("row"), "text").mapInArrow(run, SUSPECTS)
 
 
 def _id() -> Column:
     return F.coalesce(F.col("doc_id"), F.lit(NO_ID))
 
 
+def _row() -> Column:
+    """Tells the rows without an id apart by their texts, as they are one document but not one group.
+
+    Texts that happen to share a hash share a list of lost lines; each line of it is lost to all of them.
+    """
+    return F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
+
+
 def dropped_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """id, digests: the lines that a document loses. Only suspects are shuffled, as 24 bytes each.
+    """id, row, digests: the lines that a document loses. Only suspects are shuffled, as 32 bytes each.
 
     Counts are combined in each task, so a line in a third of all documents is a row per task; the
     join that deals the verdict back is split by adaptive execution.
     """
     found = written(suspects(docs, settings).distinct(), "suspects")
-    common = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
+    # All rows without an id count as one document.
+    nameless = F.col("id") == NO_ID
+    n = F.count_if(~nameless) + F.max(nameless.cast("long"))
+    common = found.groupBy("digest").agg(n.alias("n"), F.max("id").alias("keeper"))
     # Written, so that the join reads a plain shuffle of the suspects and a hot line can be split.
     common = written(common.filter(F.col("n") >= settings.least_documents).select("digest", "keeper"), "common")
     lost = found.join(common, "digest").filter("id <> keeper")
-    return lost.groupBy("id").agg(F.collect_list("digest").alias("digests"))
+    return lost.groupBy("id", "row").agg(F.collect_list("digest").alias("digests"))
 
 
 def _with_losses(docs: DataFrame, name: str, settings: Settings) -> DataFrame:
     """The rows with the digests they lose in column ``name``."""
     lost = dropped_lines(docs.select("doc_id", "text"), settings)
-    identity = free_name(docs.columns, "lost_id")
-    lost = lost.select(F.col("id").alias(identity), F.col("digests").alias(name)).hint("shuffle_hash")
-    return docs.join(lost, _id() == F.col(identity), "left").drop(identity)
+    identity, row = free_name(docs.columns, "lost_id"), free_name(docs.columns, "lost_row")
+    lost = lost.select(F.col("id").alias(identity), F.col("row").alias(row), F.col("digests").alias(name))
+    matches = (_id() == F.col(identity)) & (_row() == F.col(row))
+    return docs.join(lost.hint("shuffle_hash"), matches, "left").drop(identity, row)
 
 
 def _kept(text: str | None, lost: list[bytes] | None, settings: Settings) -> tuple[str, int, int]:

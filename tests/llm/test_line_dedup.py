@@ -49,3 +49,18 @@ def test_filter_has_no_false_negatives():
     found.add(hashes)
     assert found.has(hashes).all()
     assert Filter(2**20).has(hashes).sum() == 0
+
+
+def test_half_of_the_rows_without_id(spark):
+    """Each such row carries the lines that it loses itself, not those of all of them."""
+    shared = [f"shared line number {i} of many documents" for i in range(500)]
+    rows = [(None, f"own text {i} of a row without an id\n{shared[i % 500]}") for i in range(2000)]
+    rows += [(i, "\n".join(shared[j % 500] for j in range(i, i + 5))) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    lost = line_dedup.dropped_lines(docs)
+    assert max(len(r["digests"]) for r in lost.filter(f"id = {line_dedup.NO_ID}").collect()) == 1
+    got = digests(docs).groupBy("doc_id").agg({"n_dropped": "sum", "n_lines": "sum"}).filter("doc_id IS NULL").first()
+    assert (got["sum(n_dropped)"], got["sum(n_lines)"]) == (2000, 4000)
+    with_ids = {r["doc_id"]: r["n_dropped"] for r in digests(docs.filter("doc_id IS NOT NULL")).collect()}
+    # The nameless document is the smallest, and every line is held by enough others without it.
+    assert {r["doc_id"]: r["n_dropped"] for r in digests(docs).filter("doc_id IS NOT NULL").collect()} == with_ids
