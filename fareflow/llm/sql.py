@@ -191,3 +191,65 @@ SELECT item_id, rank, doc_id, score FROM (
     FROM scores WHERE score > 0
 ) WHERE rank <= 10
 """
+
+# What is read back is what was written: turns in order, a missing role or text empty. The formatted text
+# has 24 characters a turn besides role and text, and one more for each that is escaped.
+SQL["op7_chat"] = r"""
+WITH c AS (
+    SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, role, text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+e AS (
+    SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS t,
+        '\\|<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<\|startoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>' AS control
+    FROM c
+),
+f AS (
+    SELECT *, 24 + length(r) + length(t) + len(regexp_extract_all(r, control)) + len(regexp_extract_all(t, control))
+        + length(r) - length(replace(r, chr(10), '')) AS formatted
+    FROM e
+),
+g AS (
+    SELECT conv_id, count(*) AS n_turns, sum(formatted)::BIGINT AS formatted_chars,
+        string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns,
+        coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)
+            FILTER (role = 'assistant'), '') AS loss
+    FROM f GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+    formatted_chars
+FROM g
+"""
+
+SQL["op9_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+u AS (SELECT doc_id, len(words) AS n, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM w),
+v AS (
+    SELECT doc_id, n, i, a || ' ' || lead(a, 1) OVER o || ' ' || lead(a, 2) OVER o || ' ' || lead(a, 3) OVER o || ' ' || lead(a, 4) OVER o AS shingle
+    FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+),
+h AS (
+    SELECT DISTINCT doc_id, shingle FROM v WHERE shingle IS NOT NULL
+    UNION ALL SELECT doc_id, array_to_string(words, ' ') FROM w WHERE len(words) BETWEEN 1 AND 4
+),
+n AS (SELECT doc_id, count(shingle) AS n_shingles FROM w LEFT JOIN h USING (doc_id) GROUP BY 1),
+k AS (SELECT doc_id, dense_rank() OVER (ORDER BY shingle) AS shingle, count(*) OVER (PARTITION BY shingle) AS held FROM h QUALIFY held > 1),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS held
+    FROM k x JOIN k y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+),
+links AS (
+    SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+    WHERE 100 * held >= 85 * (p.n_shingles + q.n_shingles - held)
+),
+reached(a, b) AS (
+    SELECT doc_id, doc_id FROM n
+    UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT n.doc_id, n_shingles, component_id, n.doc_id = component_id AS kept
+FROM n JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) r ON n.doc_id = r.a
+"""
