@@ -120,6 +120,12 @@ def common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return x[y[at] == x] if len(y) else x[:0]
 
 
+def either(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The values in one of two sorted arrays, each without repeats: merged, as both are runs already."""
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    return both[np.append(both[1:] != both[:-1], True)] if len(both) else both
+
+
 def spread(first: np.ndarray, many: np.ndarray) -> np.ndarray:
     """first[0], first[0] + 1, ... for each of several runs."""
     return np.arange(many.sum()) + np.repeat(first - np.cumsum(many) + many, many)
@@ -161,7 +167,7 @@ class Aligner:
         first = at_a[np.cumsum([0] + [len(x) for x, _ in each if len(x)])[:-1]]
         anchors = common(at_a[self.a.side.marked[a]], at_b[self.b.side.marked[b]])
         # The first byte of a document is a start of both, marked or not.
-        anchors = np.union1d(anchors, first)
+        anchors = either(anchors, first)
         cut_a, cut_b = np.searchsorted(at_a, anchors), np.searchsorted(at_b, anchors)
         # All windows in a row: the ids of one side, the mark, the ids of the other.
         window = np.arange(len(anchors))
@@ -197,7 +203,7 @@ class Aligner:
         """
         a, b = a.astype(np.int64), b.astype(np.int64)
         end_a, end_b = np.cumsum(self.a.side.size[a]), np.cumsum(self.b.side.size[b])
-        ends, shared = np.union1d(end_a, end_b), common(end_a, end_b)
+        ends, shared = either(end_a, end_b), common(end_a, end_b)
         links = a[np.searchsorted(end_a, ends)] << 32 | b[np.searchsorted(end_b, ends)]
         last = end_a[np.cumsum(many_a) - 1]
         link_cuts = np.searchsorted(ends, last, "right").tolist()
